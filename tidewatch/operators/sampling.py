@@ -88,3 +88,8 @@ def hash_split(
     share = F.conv(digits, 16, 10).cast("double") / F.lit(float(16**8))
     return df.withColumn(
         "split", F.when(share < train, "train").when(share < train + val, "val").otherwise("test"))
+
+
+def first_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
+    """The first ``n`` rows by ``order``; each task passes on its own first ``n`` only."""
+    return df.orderBy(*order).limit(n)

@@ -7,6 +7,8 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.numbers import round_even
+
 # Columns of the answers, bounds and defaults of the parameters, severity signs.
 SERIES = ("window_start", "window_end", "volume", "neg_count", "neg_ratio", "avg_neg_prob",
           "unique_authors", "influencer_neg")
@@ -61,7 +63,7 @@ def headlines(active_alerts: DataFrame, most: int = HEADLINES) -> DataFrame:
     sign = F.coalesce(F.try_element_at(signs, F.col("severity")), F.lit(OTHER_SIGN))
     text = F.format_string(
         "%s **%s** — z=%.2f, neg_ratio=%.2f, volume=%d", sign, "brand",
-        F.col("z_score").cast("double"), F.col("neg_ratio").cast("double"), "volume")
+        round_even("z_score", 2), round_even("neg_ratio", 2), "volume")
     return (
         active_alerts.orderBy(F.desc("triggered_at"), "id").limit(most)
         .select("id", "triggered_at", text.alias("headline"), "sample_text")

@@ -147,23 +147,25 @@ def read_dump(spark: SparkSession, path: str, spread_to: int | None = None) -> D
     return read_csv(spark, path) if suffix == "csv" else read_json_lines(spark, path)
 
 
-def read_dump_folder(spark: SparkSession, root: str, spread_to: int | None = None) -> DataFrame:
-    """All files below ``submissions`` and ``comments``, which must both hold some.
+def read_dump_folder(
+    spark: SparkSession, root: str, spread_to: int | None = None,
+    kinds: Sequence[str] = DUMP_KINDS,
+) -> DataFrame:
+    """All files of the given kinds in ``submissions`` and ``comments``, which must both hold some.
 
     The folder a record comes from is column ``folder``.
     """
     parts = []
     for folder in DUMP_FOLDERS:
-        found = {
-            kind: files_below(spark, f"{root}/{folder}", f"*.{kind}") for kind in DUMP_KINDS
-        }
+        found = {kind: files_below(spark, f"{root}/{folder}", f"*.{kind}") for kind in kinds}
         if not any(found.values()):
             raise FileNotFoundError(f"no dump files in {root}/{folder}")
-        lines = found["ndjson"] + found["jsonl"]
+        packed, tables = found.pop("zst", []), found.pop("csv", [])
+        lines = [name for names in found.values() for name in names]
         frames = [
-            read_zstd(spark, found["zst"], spread_to=spread_to) if found["zst"] else None,
+            read_zstd(spark, packed, spread_to=spread_to) if packed else None,
             read_json_lines(spark, lines) if lines else None,
-            read_csv(spark, found["csv"]) if found["csv"] else None,
+            read_csv(spark, tables) if tables else None,
         ]
         parts += [f.withColumn("folder", F.lit(folder)) for f in frames if f is not None]
     return reduce(DataFrame.unionByName, parts)
