@@ -155,7 +155,7 @@ def brand_match_large(spark, path):
 def brand_counters(spark, path):
     counters = Observation("matching")
     texts = spread(inputs.documents(spark, path).select("text"))
-    kept = brands.keep_matched(texts, F.col("text"), BRANDS, counters)
+    kept = brands.keep_matched(texts, "text", BRANDS, counters)
     kept.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame(
         [(counters.get["sent"], counters.get["skipped"])], "sent bigint, skipped bigint")
@@ -181,11 +181,13 @@ def _polarity(spark, path) -> DataFrame:
 @query
 def lexicon_polarity(spark, path):
     compound, neg = F.col("polarity.compound"), F.col("polarity.neg")
-    return _polarity(spark, path).select(
+    scored = _polarity(spark, path).withColumn(
+        "neg_prob", sentiment.negative_probability(compound, neg))
+    return scored.select(
         "doc_id", compound.alias("compound"), neg.alias("neg"),
         F.col("polarity.neu").alias("neu"), F.col("polarity.pos").alias("pos"),
         sentiment.label_of(compound).alias("label"),
-        round_even(sentiment.negative_probability(compound, neg), 4).alias("neg_prob"),
+        round_even("neg_prob").alias("neg_prob"),
         sentiment.confidence(compound).alias("confidence"))
 
 
@@ -222,9 +224,9 @@ def softmax_argmax(spark, path):
     classes = table(spark, path, "embeddings").select("vec_id", logits.alias("logits")).withColumn(
         "p", sentiment.softmax(F.col("logits")))
     label, negative, confidence = sentiment.class_scores(F.col("p"))
-    return classes.select(
-        "vec_id", label.alias("label"), round_even(negative, 9).alias("neg_prob"),
-        round_even(confidence, 9).alias("confidence"))
+    scored = classes.select(
+        "vec_id", label.alias("label"), negative.alias("neg_prob"), confidence.alias("confidence"))
+    return scored.withColumns({c: round_even(c, 9) for c in ("neg_prob", "confidence")})
 
 
 @query

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 from pathlib import Path
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # A lexicon travels inside the plan, so its size is checked; real ones hold some ten thousand words.
 MAX_WORDS = 200_000
 _WORDS_PER_BUCKET = 8
@@ -73,23 +70,36 @@ class Lexicon:
         """Words that carry a valence themselves; a degree adverb never does."""
         return {w: float(v) for w, v in self.valences.items() if w not in self.degrees}
 
-    def valence(self, word: Column) -> Column:
+    # The conditions and look-ups are SQL text over a word: parsing one text is much faster
+    # than building a column for every entry of a long list.
+
+    def valence(self, word: str) -> str:
         return _lookup(word, self.scored)
 
-    def degree(self, word: Column) -> Column:
-        return _lookup(word, dict(self.degrees))
+    def degree(self, word: str) -> str:
+        return _lookup(word, self.degrees)
+
+    def contains(self, word: str) -> str:
+        return one_of(word, self.valences)
+
+    def scores(self, word: str) -> str:
+        return one_of(word, self.scored)
+
+    def negates(self, word: str) -> str:
+        return f"({one_of(word, self.negators)} OR contains({word}, 'n\\'t'))"
+
 
-    def contains(self, word: Column) -> Column:
-        return word.isin(list(self.valences))
+def quoted(text: str) -> str:
+    """An SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def scores(self, word: Column) -> Column:
-        return word.isin(list(self.scored))
 
-    def negates(self, word: Column) -> Column:
-        return word.isin(list(self.negators)) | word.contains("n't")
+def one_of(word: str, values: Iterable[str]) -> str:
+    """Whether ``word`` is among ``values``; Spark looks it up in a hash set."""
+    return f"{word} IN ({', '.join(map(quoted, values)) or 'NULL'})"
 
 
-def _lookup(word: Column, table: Mapping[str, float]) -> Column:
+def _lookup(word: str, table: Mapping[str, float]) -> str:
     """Value of ``word`` in a constant table, null if absent.
 
     A map is searched entry by entry, so the constant is an array of small maps and a
@@ -98,10 +108,10 @@ def _lookup(word: Column, table: Mapping[str, float]) -> Column:
     size = max(1, len(table) // _WORDS_PER_BUCKET)
     buckets: list[dict[str, float]] = [{} for _ in range(size)]
     for key, value in table.items():
-        buckets[zlib.crc32(key.encode()) % size][key] = value
-    constant = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
-    bucket = F.pmod(F.crc32(word.cast("binary")), F.lit(size)).cast("int")
-    return F.try_element_at(F.get(constant, bucket), word)
+        buckets[zlib.crc32(key.encode()) % size][key] = float(value)
+    constant = f"from_json({quoted(json.dumps(buckets))}, 'array<map<string,double>>')"
+    bucket = f"CAST(pmod(crc32(CAST({word} AS BINARY)), {size}) AS INT)"
+    return f"try_element_at(get({constant}, {bucket}), {word})"
 
 
 def load_lexicon(path: str | Path) -> Lexicon:

@@ -32,27 +32,23 @@ def lenient_long(value: Column | str, default: int = 0) -> Column:
     )
 
 
-def round_even(value: Column | str, places: int = 4) -> Column:
-    """Round the exact binary value half to even.
+def round_even(value: str, places: int = 4) -> Column:
+    """Round the exact binary value of an SQL expression half to even.
 
     Spark's ``bround`` rounds the shortest decimal form instead, which differs when the
     double lies just beside a decimal tie. The product with ten to the ``places`` is
     therefore split into its double and its exact rounding error (Dekker), and the error
     decides the apparent ties.
     """
-    x = _column(value).cast("double")
-    scale = F.lit(float(10**places))
-    wide = x * F.lit(134217729.0)
-    high = wide - (wide - x)
-    product = x * scale
-    error = (high * scale - product) + (x - high) * scale
-    below = F.floor(product).cast("double")
-    tie = (product - below) == 0.5
-    rounded = (
-        F.when(tie & (error > 0), below + 1.0).when(tie & (error < 0), below)
-        .otherwise(F.rint(product))
-    )
-    return rounded / scale
+    x = f"CAST({value} AS DOUBLE)"
+    scale = f"{float(10**places)}D"
+    product, below = f"({x} * {scale})", f"floor({x} * {scale})"
+    high = f"({x} * 134217729D - ({x} * 134217729D - {x}))"
+    error = f"(({high} * {scale} - {product}) + ({x} - {high}) * {scale})"
+    return F.expr(f"""
+        CASE WHEN {product} - {below} = 0.5D AND {error} > 0 THEN {below} + 1
+        WHEN {product} - {below} = 0.5D AND {error} < 0 THEN CAST({below} AS DOUBLE)
+        ELSE rint({product}) END / {scale}""")
 
 
 def epoch_millis(time: Column | str) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.lexicon import Lexicon
+from tidewatch.functions.lexicon import Lexicon, one_of, quoted
 from tidewatch.functions.numbers import round_even
 from tidewatch.functions.text import SPACE
 
@@ -28,28 +28,24 @@ SCORING_CUT = 0.05
 WEAK_CUT = 0.3
 LABELS = ("neg", "neu", "pos")
 
-_MARK = r""".!?,;:-'\""""
+_MARK = """.!?,;:-'\""""
 _RUN = r"""(?:[.!?,;:\-'"]|!!|!!!|\?\?|\?\?\?|\?!\?|!\?!|\?!\?!|!\?!\?)"""
-_PLAIN = r"""([^!-/:-@\[-`{-~]{2,})"""
+_PLAIN = r"([^!-/:-@\[-`{-~]{2,})"
+_MARKED = quoted(f"^(?:{_RUN}{_PLAIN}|{_PLAIN}{_RUN})$")
+_GAP = quoted(f"[{SPACE}]+")
 
 
-def words(text: Column) -> Column:
-    """White-space separated words of two characters or more, punctuation included."""
-    parts = F.split(F.coalesce(text, F.lit("")), rf"[{SPACE}]+")
-    return F.filter(parts, lambda w: F.length(w) > 1)
-
-
-def bare(word: Column) -> Column:
+def bare(word: str) -> str:
     """A word without the run of marks at one of its ends, if it holds no other punctuation."""
-    return F.regexp_replace(word, f"^(?:{_RUN}{_PLAIN}|{_PLAIN}{_RUN})$", "$1$2")
+    return f"regexp_replace({word}, {_MARKED}, '$1$2')"
 
 
-def _capitals(word: Column) -> Column:
-    return (word == F.upper(word)) & (word != F.lower(word))
+def _loud(word: str) -> str:
+    return f"({word} = upper({word}) AND {word} <> lower({word}))"
 
 
-def _count(text: Column, sign: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
+def _count(text: str, sign: str) -> str:
+    return f"(length({text}) - length(replace({text}, '{sign}', '')))"
 
 
 def with_polarity(df: DataFrame, text: str, lexicon: Lexicon, into: str = "polarity") -> DataFrame:
@@ -59,97 +55,92 @@ def with_polarity(df: DataFrame, text: str, lexicon: Lexicon, into: str = "polar
     not once per use. Only words found in the lexicon are looked at with their context.
     """
     columns = df.columns
-    text_ = F.coalesce(F.col(text), F.lit(""))
+    source = f"coalesce(`{text}`, '')"
+
+    # Words of two characters or more, punctuation included.
+    words = f"filter(split({source}, {_GAP}), w -> length(w) > 1)"
 
     # Trimming marks is cheap and lets every word through that bare() might turn into a
     # scored one; the exact check then runs on those few only.
-    def worth_a_look(word: Column) -> Column:
-        trimmed = lexicon.scores(F.trim(word, F.lit(_MARK)))
-        marked = [w for w in lexicon.scored if w.strip(_MARK) != w]
-        return trimmed | word.isin(marked) if marked else trimmed
-
-    # get() is zero-based and null outside the array, so context before the first word is null.
-    found = F.filter(
-        F.array_compact(F.transform("_words", lambda w, i: F.when(
-            worth_a_look(F.lower(w)), F.struct(i.alias("at"), bare(w).alias("word"))))),
-        lambda h: lexicon.scores(F.lower(h["word"])),
-    )
-    shouting = F.exists("_found", lambda h: _capitals(h["word"])) | F.exists(
-        "_found", lambda h: _capitals(F.get("_words", h["at"] - 1))
-        | _capitals(F.get("_words", h["at"] - 2)) | _capitals(F.get("_words", h["at"] - 3)))
-    capital_words = F.size(F.filter("_words", _capitals))
-    # Capitals stand out only where some words, but not all, are in capitals.
-    stands_out = (
-        F.when(~F.coalesce(shouting, F.lit(False)), False)
-        .otherwise((capital_words > 0) & (capital_words < F.size("_words")))
-    )
-
-    def in_context(value: Column, hit: Column, distance: Column) -> Column:
-        before = bare(F.get("_words", hit["at"] - distance))
-        plain = F.lower(before)
-        direction = F.when(value < 0, -1.0).otherwise(1.0)
-        loud = F.when(F.col("_stands_out") & _capitals(before),
-                      F.when(value > 0, CAPITALS).otherwise(-CAPITALS)).otherwise(0.0)
-        change = (lexicon.degree(plain) * direction + loud) * F.get(
-            F.array(*map(F.lit, DISTANCE)), distance - 1)
-        changed = value + F.coalesce(change, F.lit(0.0))
-        return (
-            F.when(before.isNull() | lexicon.contains(plain), value)
-            .when(lexicon.negates(plain), changed * NEGATION).otherwise(changed)
-        )
-
-    def valence(hit: Column) -> Column:
-        base = lexicon.valence(F.lower(hit["word"]))
-        loud = F.when(F.col("_stands_out") & _capitals(hit["word"]),
-                      F.signum(base) * CAPITALS).otherwise(0.0)
-        return F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), base + loud,
-                           lambda value, d: in_context(value, hit, d))
+    candidate = lexicon.scores(f"trim(BOTH {quoted(_MARK)} FROM lower(w))")
+    marked = [w for w in lexicon.scored if w.strip(_MARK) != w]
+    if marked:
+        candidate += f" OR {one_of('lower(w)', marked)}"
+    found = f"""
+        filter(
+          array_compact(transform(_words, (w, i) ->
+            CASE WHEN {candidate} THEN named_struct('at', i, 'word', {bare('w')}) END)),
+          h -> {lexicon.scores('lower(h.word)')})"""
+
+    # Capitals stand out only where some words, but not all, are in capitals. They matter for
+    # a found word and the three before it; get() is zero-based and null outside the array.
+    near = " OR ".join(_loud(w) for w in (
+        "h.word", *[f"get(_words, h.at - {d})" for d in (1, 2, 3)]))
+    stands_out = f"""
+        CASE WHEN exists(_found, h -> {near})
+        THEN size(filter(_words, w -> {_loud('w')})) BETWEEN 1 AND size(_words) - 1
+        ELSE false END"""
 
     # Position of the first "but", one-based; zero if there is none.
-    turn = F.when(F.size("_found") > 0, F.array_position(F.transform(
-        "_words", lambda w: F.lower(w).contains("but") & (bare(F.lower(w)) == "but")), True)
-    ).otherwise(0)
-    weighed = F.transform("_found", lambda h: valence(h) * (
-        F.when((F.col("_turn") == 0) | (h["at"] + 1 == F.col("_turn")), 1.0)
-        .when(h["at"] + 1 < F.col("_turn"), BEFORE_BUT).otherwise(AFTER_BUT)))
-
-    def add(keep, value=lambda v: v) -> Column:
-        return F.aggregate("_valences", F.lit(0.0),
-                           lambda total, v: total + F.when(keep(v), value(v)).otherwise(0.0))
-
-    questions = _count(text_, "?")
-    emphasis = F.least(_count(text_, "!"), F.lit(MOST_EXCLAMATIONS)) * EXCLAMATION + (
-        F.when(questions > SOME_QUESTIONS, MANY_QUESTIONS)
-        .when(questions > 1, questions * QUESTION).otherwise(0.0))
-
-    staged = (
-        df.withColumn("_words", words(F.col(text)))
-        .withColumn("_found", found)
-        .withColumns({"_stands_out": stands_out, "_turn": turn})
-        .withColumn("_valences", weighed)
-        .withColumns({
-            "_sum": add(lambda v: F.lit(True)),
-            "_up": add(lambda v: v > 0, lambda v: v + 1.0),
-            "_down": add(lambda v: v < 0, lambda v: 1.0 - v),
-            "_flat": F.size("_words") - F.size(F.filter("_valences", lambda v: v != 0)),
-            "_emphasis": emphasis,
-        })
-    )
-    push = F.col("_emphasis")
-    total = F.col("_sum") + F.signum("_sum") * push
-    compound = total / F.sqrt(total * total + NORMALISER)
-    up = F.col("_up") + F.when(F.col("_up") > F.col("_down"), push).otherwise(0.0)
-    down = F.col("_down") + F.when(F.col("_up") < F.col("_down"), push).otherwise(0.0)
-    staged = staged.withColumns({"_compound": compound, "_rise": up, "_fall": down})
-    mass = F.col("_rise") + F.col("_fall") + F.col("_flat")
+    turn = f"""
+        CASE WHEN size(_found) > 0 THEN array_position(transform(_words, w ->
+          contains(lower(w), 'but') AND {bare('lower(w)')} = 'but'), true) ELSE 0 END"""
+
+    before = f"""
+        transform(array({', '.join(f'{d}D' for d in DISTANCE)}), (weight, d) ->
+          named_struct('weight', weight, 'word', {bare('get(_words, h.at - 1 - d)')}))"""
+    change = f"""
+        b.weight * ({lexicon.degree('lower(b.word)')} * IF(v < 0, -1, 1)
+          + IF(_stands_out AND {_loud('b.word')}, IF(v > 0, {CAPITALS}D, -{CAPITALS}D), 0D))"""
+    in_context = f"""
+        CASE WHEN b.word IS NULL OR {lexicon.contains('lower(b.word)')} THEN v
+        ELSE (v + coalesce({change}, 0D)) * IF({lexicon.negates('lower(b.word)')}, {NEGATION}D, 1D)
+        END"""
+    base = lexicon.valence("lower(h.word)")
+    start = f"{base} + IF(_stands_out AND {_loud('h.word')}, signum({base}) * {CAPITALS}D, 0D)"
+    valences = f"""
+        transform(_found, h -> aggregate({before}, {start}, (v, b) -> {in_context})
+          * CASE WHEN _turn = 0 OR h.at + 1 = _turn THEN 1D
+            WHEN h.at + 1 < _turn THEN {BEFORE_BUT}D ELSE {AFTER_BUT}D END)"""
+
+    questions = _count(source, "?")
+    emphasis = f"""
+        least({_count(source, '!')}, {MOST_EXCLAMATIONS}) * {EXCLAMATION}D
+        + CASE WHEN {questions} > {SOME_QUESTIONS} THEN {MANY_QUESTIONS}D
+          WHEN {questions} > 1 THEN {questions} * {QUESTION}D ELSE 0D END"""
 
     def share(part: str) -> Column:
-        return F.when(F.size("_words") > 0, round_even(F.col(part) / mass, 3)).otherwise(0.0)
+        return F.when(F.expr("size(_words) > 0"), round_even(
+            f"{part} / (_rise + _fall + _flat)", 3)).otherwise(0.0)
+
+    return (
+        _with(df, _words=words)
+        .transform(_with, _found=found)
+        .transform(_with, _stands_out=stands_out, _turn=turn)
+        .transform(_with, _valences=valences)
+        .transform(
+            _with,
+            _sum="aggregate(_valences, 0D, (t, v) -> t + v)",
+            _up="aggregate(_valences, 0D, (t, v) -> t + IF(v > 0, v + 1, 0D))",
+            _down="aggregate(_valences, 0D, (t, v) -> t + IF(v < 0, 1 - v, 0D))",
+            _flat="size(_words) - size(filter(_valences, v -> v <> 0))",
+            _push=emphasis)
+        .transform(
+            _with,
+            _total="_sum + signum(_sum) * _push",
+            _rise="_up + IF(_up > _down, _push, 0D)",
+            _fall="_down + IF(_up < _down, _push, 0D)")
+        .transform(_with, _compound=f"_total / sqrt(_total * _total + {NORMALISER}D)")
+        .select(*columns, F.struct(
+            F.when(F.expr("size(_words) > 0"), round_even("_compound", 4)).otherwise(0.0)
+            .alias("compound"),
+            share("_fall").alias("neg"), share("_flat").alias("neu"), share("_rise").alias("pos"),
+        ).alias(into))
+    )
+
 
-    return staged.select(*columns, F.struct(
-        F.when(F.size("_words") > 0, round_even("_compound", 4)).otherwise(0.0).alias("compound"),
-        share("_fall").alias("neg"), share("_flat").alias("neu"), share("_rise").alias("pos"),
-    ).alias(into))
+def _with(df: DataFrame, **expressions: str) -> DataFrame:
+    return df.withColumns({name: F.expr(sql) for name, sql in expressions.items()})
 
 
 def label_of(compound: Column, cut: float = SCORING_CUT) -> Column:

@@ -5,19 +5,19 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewatch.config import Brand
 
-# Above this many keywords one pattern per brand gets slower than looking words up.
+# Above this many keywords testing each of them is slower than looking the text's words up.
 MANY_KEYWORDS = 500
 # The keyword table is broadcast only up to this many rows (some hundred bytes each).
 BROADCAST_KEYWORDS = 1_000_000
 
 _WORD = r"\p{L}\p{N}_"
-_EDGE = f"(?<=[{_WORD}])(?![{_WORD}])|(?<![{_WORD}])(?=[{_WORD}])"
 _CUT = "\x01"
 
 
@@ -39,13 +39,22 @@ def keyword_pattern(keyword: str) -> str:
 
 
 def match_brand(text: Column, brands: Sequence[Brand]) -> Column:
-    """Name of the first brand, in dictionary order, with any keyword in ``text``; else null."""
-    lowered = F.lower(text)
-    hits = [
-        F.when(lowered.rlike("|".join(map(keyword_pattern, b.keywords))), F.lit(b.name))
-        for b in brands if b.keywords
-    ]
-    return F.coalesce(*hits) if hits else F.lit(None).cast("string")
+    """Name of the first brand, in dictionary order, with any keyword in ``text``; else null.
+
+    A plain substring test goes before each pattern and spares most texts the pattern. The
+    one-element array makes Spark lower the text once and not once per keyword.
+    """
+    def first(lowered: Column) -> Column:
+        return F.coalesce(*[
+            F.when(reduce(Column.__or__, [
+                lowered.contains(k) & lowered.rlike(keyword_pattern(k)) for k in b.keywords]),
+                b.name)
+            for b in known])
+
+    known = [b for b in brands if b.keywords]
+    if not known:
+        return F.lit(None).cast("string")
+    return F.get(F.transform(F.array(F.lower(text)), first), 0)
 
 
 def _split_at_edges(keyword: str) -> list[str]:
@@ -53,9 +62,13 @@ def _split_at_edges(keyword: str) -> list[str]:
     return re.findall(r"\w+|\W+", keyword)
 
 
-def match_brand_by_join(df: DataFrame, text: str, key: str, brands: Sequence[Brand]) -> DataFrame:
+def match_brand_by_join(
+    df: DataFrame, text: str, key: str, brands: Sequence[Brand], how: str = "inner"
+) -> DataFrame:
     """The rows of ``df`` that match a brand, with its name as ``brand``; for large dictionaries.
 
+    All rows with ``how="left"``; those without a match then have no brand.
+
     Text and keywords get a separator at every word boundary. A keyword then is in the text
     between boundaries exactly if its marked form is a plain substring, and its longest word
     must be among the words of the text, which gives an equi-join. ``key`` identifies a row.
@@ -77,7 +90,7 @@ def match_brand_by_join(df: DataFrame, text: str, key: str, brands: Sequence[Bra
     if len(rows) <= BROADCAST_KEYWORDS:
         table = F.broadcast(table)
 
-    marked = F.regexp_replace(F.lower(F.col(text)), _EDGE, _CUT)
+    marked = F.regexp_replace(F.lower(F.col(text)), f"([{_WORD}]+)", f"{_CUT}$1{_CUT}")
     texts = df.select(F.col(key).alias("_key"), marked.alias("_marked"))
     found = (
         texts.select("_key", "_marked", F.explode(
@@ -86,25 +99,30 @@ def match_brand_by_join(df: DataFrame, text: str, key: str, brands: Sequence[Bra
     )
     if wordless:
         # A keyword without any word character cannot be looked up; these stay patterns.
-        firsts = [F.when(F.col(text).rlike(p), F.lit(order)) for order, p in wordless]
+        firsts = [F.when(F.lower(F.col(text)).rlike(p), F.lit(order)) for order, p in wordless]
         found = found.unionByName(
             df.select(F.col(key).alias("_key"), F.coalesce(*firsts).alias("brand_order"))
             .where("brand_order is not null"))
     first = found.groupBy("_key").agg(F.min("brand_order").alias("_order"))
     return (
-        df.join(first, F.col(key) == F.col("_key"))
+        df.join(first, F.col(key) == F.col("_key"), how)
         .withColumn("brand", F.get(names, F.col("_order"))).drop("_key", "_order")
     )
 
 
 def keep_matched(
-    df: DataFrame, text: Column, brands: Sequence[Brand], counters: Observation | None = None
+    df: DataFrame, text: str, brands: Sequence[Brand], counters: Observation | None = None,
+    key: str | None = None,
 ) -> DataFrame:
     """The rows that match a brand, with its name as ``brand``.
 
-    ``counters`` reports how many rows were ``sent`` on and how many ``skipped``.
+    ``counters`` reports how many rows were ``sent`` on and how many ``skipped``. With a
+    ``key`` that identifies a row, a large dictionary is looked up by a join.
     """
-    matched = df.withColumn("brand", match_brand(text, brands))
+    if key and sum(len(b.keywords) for b in brands) > MANY_KEYWORDS:
+        matched = match_brand_by_join(df, text, key, brands, "left")
+    else:
+        matched = df.withColumn("brand", match_brand(F.col(text), brands))
     if counters is not None:
         matched = matched.observe(
             counters, F.count("brand").alias("sent"),

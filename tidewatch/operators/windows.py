@@ -73,8 +73,8 @@ def _finish(totals: DataFrame) -> DataFrame:
         F.col("window.end").alias("window_end"),
         F.col("volume"),
         F.col("neg").alias("neg_count"),
-        round_even(F.col("neg") / F.col("volume")).alias("neg_ratio"),
-        round_even(F.col("prob") / F.lit(_PARTS) / F.col("volume")).alias("avg_neg_prob"),
+        round_even("neg / volume").alias("neg_ratio"),
+        round_even(f"prob / {_PARTS}D / volume").alias("avg_neg_prob"),
         F.col("authors").alias("unique_authors"),
         round_even("reach").alias("influencer_neg"),
         F.col("sample.text").alias("sample_text"),
