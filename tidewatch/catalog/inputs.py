@@ -12,7 +12,7 @@ from tidewatch.operators.messages import clean_messages
 from tidewatch.operators.scoring import lexicon_scorer, score_messages
 from tidewatch.operators.spikes import score_windows
 from tidewatch.operators.windows import window_aggregates
-from tidewatch.session import ROCKSDB_PROVIDER, spread
+from tidewatch.session import ROCKSDB_PROVIDER, shared_dir, spread
 
 # The invented prose holds few English words of feeling, so some of its frequent syllables
 # get a valence, a degree or a negating sense: every rule of the scorer is then at work.
@@ -106,8 +106,15 @@ def scored_messages(
     return messages.join(scored_documents(spark, path), "doc_id").drop("doc_id")
 
 
-def aggregates(spark: SparkSession, path: str) -> DataFrame:
-    return window_aggregates(scored_messages(spark, path), DETECTION.window, DETECTION.slide)
+def aggregates(spark: SparkSession, path: str, stored: bool = False) -> DataFrame:
+    """Window aggregates of the scored messages, which are written to a table first if ``stored``."""
+    scored = scored_messages(spark, path)
+    if stored:
+        folder = shared_dir(spark, "scored")
+        scored.write.parquet(folder)
+        scored = spark.read.parquet(folder)
+    return window_aggregates(
+        scored, DETECTION.window_seconds, DETECTION.slide_seconds, stored=stored)
 
 
 def scored_windows(spark: SparkSession, path: str, detection: Detection = DETECTION) -> DataFrame:

@@ -357,6 +357,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT k // 1000000 AS conv_id, k % 1000000 AS turn, text, label, neg_prob
             FROM verdicts JOIN texts USING (k)"""),
         "sliding_aggregates": _over_windows("SELECT * FROM windows"),
+        "stored_aggregates": _over_windows("SELECT * FROM windows"),
         "ewma_zscore": _over_alerts(f"""
             SELECT brand, window_start, neg_count, {_round('z', 6)} AS z_score FROM flagged"""),
         "spike_alerts": _over_alerts("SELECT * FROM alerts"),

@@ -247,6 +247,11 @@ def sliding_aggregates(spark, path):
     return windows.as_stream_record(inputs.aggregates(spark, path))
 
 
+@query
+def stored_aggregates(spark, path):
+    return windows.as_stream_record(inputs.aggregates(spark, path, stored=True))
+
+
 @query
 def ewma_zscore(spark, path):
     scored = inputs.scored_windows(spark, path)
@@ -331,7 +336,7 @@ def upsert_aggregates(spark, path):
     halves = scored.where(f"event_time < timestamp'{AS_OF}'"), scored.where(
         f"event_time >= timestamp'{AS_OF}'")
     for batch, half in enumerate(halves):
-        rows = windows.window_aggregates(half, DETECTION.window, DETECTION.slide)
+        rows = windows.window_aggregates(half, DETECTION.window_seconds, DETECTION.slide_seconds)
         stored.write_aggregates(windows.as_stream_record(rows), root, batch)
     table_now = stored.read_aggregates(spark, root).drop("window_date")
     ratios = ("neg_ratio", "avg_neg_prob", "influencer_neg")

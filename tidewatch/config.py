@@ -39,14 +39,6 @@ class Detection:
     thresholds: Thresholds = field(default_factory=Thresholds)
     per_brand: Mapping[str, Thresholds] = field(default_factory=dict)
 
-    @property
-    def window(self) -> str:
-        return f"{self.window_seconds} seconds"
-
-    @property
-    def slide(self) -> str:
-        return f"{self.slide_seconds} seconds"
-
     @property
     def lateness(self) -> str:
         return f"{self.lateness_seconds} seconds"

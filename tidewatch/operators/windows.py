@@ -1,7 +1,9 @@
-"""Per-brand aggregates over sliding event-time windows; the same for batch and streams."""
+"""Per-brand aggregates over sliding event-time windows."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,37 +13,22 @@ from tidewatch.operators.messages import brand_key
 
 # Probabilities are added up as whole billionths, so that a sum does not depend on row order.
 _PARTS = 1e9
+_SAMPLE = "struct<order:double,at:bigint,id:string,text:string>"
 
 
-def _facets(scored: DataFrame, time: str, text: str) -> DataFrame:
-    """Every message twice: once with its measures, once with nothing but its author.
-
-    Counting distinct authors needs a shuffle by author. Kept apart, that shuffle moves short
-    keys only, while measures and sample texts are already combined per brand and window
-    on the map side, also when one brand holds most of the messages.
-    """
+def _measures(time: str, text: str) -> dict[str, Column]:
+    """What is added up, and the sample: most negative, then earliest, then smallest id."""
     prob = F.coalesce(F.col("neg_prob"), F.lit(0.0))
-    nobody = F.lit(None).cast("string")
-    sample = F.when(prob > 0, F.struct(
-        (-prob).alias("order"), epoch_millis(time).alias("at"), F.col("id").cast("string").alias("id"),
-        F.left(text, F.lit(SAMPLE_LIMIT)).alias("text")))
-    measures = F.struct(
-        nobody.alias("author"),
-        F.lit(1).alias("volume"),
-        (F.col("label") == "neg").cast("int").alias("neg"),
-        F.rint(prob * _PARTS).cast("bigint").alias("prob"),
-        (prob * reach_weight("score")).alias("reach"),
-        sample.alias("sample"),
-    )
-    author = F.struct(
-        F.col("author"), F.lit(0).alias("volume"), F.lit(0).alias("neg"),
-        F.lit(0).cast("bigint").alias("prob"), F.lit(0.0).alias("reach"),
-        F.lit(None).cast("struct<order:double,at:bigint,id:string,text:string>").alias("sample"),
-    )
-    known = F.coalesce(F.col("author") != "", F.lit(False))
-    return scored.select(
-        brand_key().alias("brand"), F.col(time).alias("event_time"),
-        F.inline(F.when(known, F.array(measures, author)).otherwise(F.array(measures))))
+    return {
+        "volume": F.lit(1),
+        "neg": F.coalesce((F.col("label") == "neg").cast("int"), F.lit(0)),
+        "prob": F.rint(prob * _PARTS).cast("bigint"),
+        "reach": prob * reach_weight("score"),
+        "sample": F.when(prob > 0, F.struct(
+            (-prob).alias("order"), epoch_millis(time).alias("at"),
+            F.col("id").cast("string").alias("id"),
+            F.left(text, F.lit(SAMPLE_LIMIT)).alias("text"))),
+    }
 
 
 def _totals() -> list[Column]:
@@ -50,20 +37,68 @@ def _totals() -> list[Column]:
 
 
 def window_aggregates(
-    scored: DataFrame, window: str, slide: str, time: str = "event_time", text: str = "text"
+    scored: DataFrame, window: int, slide: int, time: str = "event_time", text: str = "text",
+    stored: bool = True,
 ) -> DataFrame:
-    """One row per brand and window that holds a message.
+    """One row per brand and window that holds a message; ``window`` and ``slide`` in seconds.
 
     ``scored`` has ``brand, id, author, score, label, neg_prob``, a text and an event time.
-    The sample is the text of the most negative message: the earliest, then the smallest id.
+    Two plans give the same result. A ``stored`` table is read twice, each time only the
+    columns needed, which is the faster plan. Streams, and rows that are costly to compute,
+    are passed over once.
     """
-    per_author = (
-        _facets(scored, time, text)
-        .groupBy(F.window("event_time", window, slide).alias("window"), "brand", "author")
-        .agg(*_totals())
+    once = scored.isStreaming or not stored
+    plan = _one_pass if once else _two_passes
+    return _finish(plan(scored, window, slide, time, text))
+
+
+def _two_passes(scored: DataFrame, window: int, slide: int, time: str, text: str) -> DataFrame:
+    """Measures and distinct authors apart, joined per window.
+
+    Measures are first combined per pane, the stretch in which no window begins or ends, so
+    a message is not copied into every window it lies in. Both parts are combined on the map
+    side before they are shuffled, also when one brand or one author has most messages.
+    """
+    sizes = f"{window} seconds", f"{slide} seconds"
+    keyed = scored.withColumn("brand", brand_key())
+    measures = keyed.select(
+        "brand", F.window(time, f"{math.gcd(window, slide)} seconds").alias("pane"),
+        *[c.alias(name) for name, c in _measures(time, text).items()])
+    panes = measures.groupBy("pane", "brand").agg(*_totals())
+    totals = panes.groupBy(F.window("pane.start", *sizes).alias("window"), "brand").agg(*_totals())
+    authors = (
+        keyed.where("author <> ''")
+        .select(F.window(time, *sizes).alias("window"), "brand", "author").distinct()
+        .groupBy("window", "brand").agg(F.count("*").alias("known"))
     )
-    return _finish(
-        per_author.groupBy("window", "brand").agg(*_totals(), F.count("author").alias("authors")))
+    return totals.join(authors, ["window", "brand"], "left").withColumn(
+        "authors", F.coalesce("known", F.lit(0)))
+
+
+def _one_pass(scored: DataFrame, window: int, slide: int, time: str, text: str) -> DataFrame:
+    """Every message twice: once with its measures, once with nothing but its author.
+
+    Streams cannot join two aggregates of themselves. Counting distinct authors needs a
+    state and a shuffle by author; kept apart, they hold short keys only, while measures and
+    samples are already combined per brand and window.
+    """
+    measures = _measures(time, text)
+    nothing = {"volume": F.lit(0), "neg": F.lit(0), "prob": F.lit(0).cast("bigint"),
+               "reach": F.lit(0.0), "sample": F.lit(None).cast(_SAMPLE)}
+
+    def facet(author: Column, values: dict[str, Column]) -> Column:
+        return F.struct(author.alias("author"), *[c.alias(n) for n, c in values.items()])
+
+    message = facet(F.lit(None).cast("string"), measures)
+    known = F.coalesce(F.col("author") != "", F.lit(False))
+    facets = scored.select(
+        brand_key().alias("brand"), F.col(time).alias("event_time"),
+        F.inline(F.when(known, F.array(message, facet(F.col("author"), nothing)))
+                 .otherwise(F.array(message))))
+    sizes = f"{window} seconds", f"{slide} seconds"
+    per_author = facets.groupBy(
+        F.window("event_time", *sizes).alias("window"), "brand", "author").agg(*_totals())
+    return per_author.groupBy("window", "brand").agg(*_totals(), F.count("author").alias("authors"))
 
 
 def _finish(totals: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import io
 import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ _LINES_PER_BATCH = 5_000
 def files_below(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
     """Names of the files at ``path`` (a file, folder or glob) that match ``pattern``."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return sorted(listing.inputFiles())
+    return sorted(map(unquote, listing.inputFiles()))
 
 
 def _open(path: str):

@@ -36,7 +36,7 @@ def scored_stream(
 
 def aggregate_stream(scored: DataFrame, detection: Detection) -> DataFrame:
     """Each window once, when the watermark passes its end."""
-    return window_aggregates(scored, detection.window, detection.slide)
+    return window_aggregates(scored, detection.window_seconds, detection.slide_seconds)
 
 
 def alert_stream(scored: DataFrame, detection: Detection) -> DataFrame:
