@@ -20,6 +20,8 @@ def build_session(app: str = "tidewatch", master: str | None = None, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Recording the calling line of every column expression makes building plans slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     )
     if master:
