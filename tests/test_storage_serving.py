@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from tidewatch.plans import serving
 from tidewatch.schemas import AGGREGATE, ALERT, AGGREGATE_TABLE, ALERT_TABLE
 from tidewatch.sinks import tables, topics
+from tidewatch.sources.topics import folder_stream
+from tidewatch.streaming import monitor
 
 DAY = 86400.0
 
@@ -75,19 +78,40 @@ def test_alerts_are_appended_once(spark, tmp_path):
     assert got.count() == 2 and got.select("id").distinct().count() == 2
 
 
-def test_route_persist_and_dead_letters(spark, tmp_path):
+def test_routing(spark):
     records = spark.createDataFrame([("agg", 1), ("alert", 2), ("other", 3)], "topic string, n int")
     first, rest = tables.route(records, "agg")
     assert [r["n"] for r in first.collect()] == [1] and [r["n"] for r in rest.collect()] == [2, 3]
-    tables.persist_batch(
-        aggregates(spark, aggregate("a", 0.0, 1), aggregate("a", 60.0, None), aggregate("b", 60.0, 0, influencer_neg=1.0)),
-        alerts(spark, alert("a", 1000.0), alert("a", 2000.0, severity="huge")), str(tmp_path), 4)
-    rejected = {(r["kind"], tuple(r["violations"])) for r in spark.read.json(str(tmp_path / "rejected")).collect()}
-    assert ("alert", ("severity is one of low, medium, high, critical",)) in rejected
-    assert ("aggregate", ("volume is at least 1",)) in rejected
-    assert ("aggregate", ("volume is required",)) in rejected
-    assert tables.read_alerts(spark, str(tmp_path / "alerts")).count() == 1
-    assert [r["volume"] for r in tables.read_aggregates(spark, str(tmp_path / "aggregates")).collect()] == [1]
+
+
+def test_persister_with_dead_letters(spark, tmp_path):
+    def lines(folder, name, *records):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_text(
+            "\n".join(r if isinstance(r, str) else json.dumps(r) for r in records) + "\n")
+
+    def drain():
+        raw = folder_stream(spark, {"agg": str(tmp_path / "agg"), "alerts": str(tmp_path / "alert")})
+        monitor.start_persister(raw, "agg", root, drain=True).awaitTermination()
+
+    root = str(tmp_path / "out")
+    lines("agg", "0.jsonl", aggregate("a", 0.0, 1), aggregate("a", 60.0, None), aggregate("b", 60.0, 0), "{oops")
+    lines("alert", "0.jsonl", alert("a", 1000.0), alert("a", 2000.0, severity="huge"), "[1]")
+    time.sleep(0.02)
+    lines("agg", "1.jsonl", aggregate("a", 0.0, 8, influencer_neg=1.5))
+    drain()
+    lines("agg", "2.jsonl", aggregate("a", 120.0, 3))
+    lines("alert", "2.jsonl", alert("a", 1000.0))
+    drain()
+    rejected = {(r["topic"], tuple(r["violations"])) for r in spark.read.json(f"{root}/rejected").collect()}
+    assert rejected == {
+        ("agg", ("volume is required",)), ("agg", ("volume is at least 1",)),
+        ("agg", ("record is a JSON object",)), ("alerts", ("record is a JSON object",)),
+        ("alerts", ("severity is one of low, medium, high, critical",))}
+    assert tables.read_alerts(spark, f"{root}/alerts").count() == 1
+    stored = tables.read_aggregates(spark, f"{root}/aggregates")
+    assert sorted((r["window_start"].timestamp(), r["volume"], r["influencer_neg"]) for r in stored.collect()) == [
+        (0.0, 8, 1.5), (120.0, 3, 0.0)]
 
 
 def test_routed_messages(spark, tmp_path):

@@ -29,6 +29,14 @@ def decode(df: DataFrame, value: str = "value", schema: StructType = RAW_MESSAGE
     )
 
 
+def unreadable(df: DataFrame, value: str = "value") -> DataFrame:
+    """The rows ``decode`` leaves out."""
+    record = F.from_json(value, StructType([StructField(UNREADABLE, StringType())]), {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
+    fine = record.isNotNull() & record[UNREADABLE].isNull()
+    return df.where(~F.coalesce(fine, F.lit(False)))
+
+
 def encode(df: DataFrame) -> DataFrame:
     """Every row as one JSON text column ``value``."""
     return df.select(F.to_json(F.struct("*")).alias("value"))

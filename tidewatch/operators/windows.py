@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.numbers import epoch_millis, epoch_seconds, reach_weight, round_even
@@ -53,26 +53,58 @@ def window_aggregates(
 
 
 def _two_passes(scored: DataFrame, window: int, slide: int, time: str, text: str) -> DataFrame:
-    """Measures and distinct authors apart, joined per window.
+    """Measures and distinct authors apart.
 
-    Measures are first combined per pane, the stretch in which no window begins or ends, so
-    a message is not copied into every window it lies in. Both parts are combined on the map
-    side before they are shuffled, also when one brand or one author has most messages.
+    Both start from panes, the stretches in which no window begins or ends, so that no message
+    is copied into every window it lies in, and both are combined on the map side before they
+    are shuffled, also when one brand or one author has most messages.
     """
-    sizes = f"{window} seconds", f"{slide} seconds"
-    keyed = scored.withColumn("brand", brand_key())
-    measures = keyed.select(
-        "brand", F.window(time, f"{math.gcd(window, slide)} seconds").alias("pane"),
-        *[c.alias(name) for name, c in _measures(time, text).items()])
-    panes = measures.groupBy("pane", "brand").agg(*_totals())
-    totals = panes.groupBy(F.window("pane.start", *sizes).alias("window"), "brand").agg(*_totals())
-    authors = (
-        keyed.where("author <> ''")
-        .select(F.window(time, *sizes).alias("window"), "brand", "author").distinct()
-        .groupBy("window", "brand").agg(F.count("*").alias("known"))
+    second = F.unix_seconds(F.col(time).cast("timestamp"))
+    pane = F.col("pane")
+    keyed = scored.where(F.col(time).isNotNull()).withColumns({
+        "brand": brand_key(), "pane": _floor(second, math.gcd(window, slide))})
+
+    measures = {name: c.alias(name) for name, c in _measures(time, text).items()}
+    panes = keyed.select("brand", "pane", *measures.values()).groupBy("brand", "pane").agg(*_totals())
+    starts = F.sequence(_after(pane - window, slide), _floor(pane, slide), F.lit(slide).cast("bigint"))
+    totals = panes.select("brand", F.explode(starts).alias("start"), *measures).groupBy(
+        "brand", "start").agg(*_totals())
+
+    # An author seen in a pane is in the windows that start from after (pane - window) up to the
+    # pane. Those that start no later than the author's previous pane hold the author already.
+    # What is left begins and ends once, and a running sum over the window starts counts it.
+    seen = keyed.where("author <> ''").select("brand", "author", "pane").distinct().withColumn(
+        "previous", F.lag("pane").over(Window.partitionBy("brand", "author").orderBy("pane")))
+    new = seen.select("brand", F.inline(F.array(
+        F.struct(_after(F.greatest("previous", pane - window), slide).alias("start"), F.lit(1).alias("change")),
+        F.struct(_after(pane, slide).alias("start"), F.lit(-1).alias("change")))))
+    changes = new.groupBy("brand", "start").agg(F.sum("change").alias("change"))
+
+    # From here on there is one row per brand and window start at most.
+    held = totals.select("brand", "start", F.lit(0).cast("bigint").alias("change"),
+                         F.struct(*measures).alias("held"))
+    nothing = F.lit(None).cast(held.schema["held"].dataType).alias("held")
+    both = held.unionByName(changes.select("brand", "start", "change", nothing))
+    merged = both.groupBy("brand", "start").agg(
+        F.sum("change").alias("change"), F.max("held").alias("held"))
+    upto = Window.partitionBy("brand").orderBy("start").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (
+        merged.withColumn("authors", F.sum("change").over(upto)).where(F.col("held").isNotNull())
+        .select("brand", "held.*", "authors", F.struct(
+            F.timestamp_seconds("start").alias("start"),
+            F.timestamp_seconds(F.col("start") + window).alias("end")).alias("window"))
     )
-    return totals.join(authors, ["window", "brand"], "left").withColumn(
-        "authors", F.coalesce("known", F.lit(0)))
+
+
+def _floor(second: Column, step: int) -> Column:
+    """The last multiple of ``step`` that is not after ``second``."""
+    return second - F.pmod(second, F.lit(step))
+
+
+def _after(second: Column, step: int) -> Column:
+    """The first multiple of ``step`` after ``second``."""
+    return _floor(second, step) + step
 
 
 def _one_pass(scored: DataFrame, window: int, slide: int, time: str, text: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tidewatch.operators.scoring import Scorer, score_messages
 from tidewatch.operators.windows import window_aggregates
 from tidewatch.schemas import SCORED_MESSAGE
 from tidewatch.session import ROCKSDB_PROVIDER
-from tidewatch.sinks.tables import write_aggregates, write_alerts
+from tidewatch.sinks.tables import persist_batch, write_aggregates, write_alerts
 from tidewatch.sources.topics import message_stream, table_stream
 from tidewatch.streaming.detector import detect_spike_stream
 
@@ -93,6 +93,15 @@ def start_monitor(
     return queries
 
 
+def start_persister(
+    records: DataFrame, aggregates_topic: str, root: str, drain: bool = False
+) -> StreamingQuery:
+    """Store what result topics carry: aggregates are upserted, all other records are alerts."""
+    return run(
+        records, f"{root}/checkpoints/persister", drain=drain,
+        write=lambda batch, number: persist_batch(batch, aggregates_topic, root, number))
+
+
 def progress_counts(query: StreamingQuery) -> dict[str, int]:
     """Rows read so far by a query's recent micro-batches, and how many were too late."""
     progress = query.recentProgress
