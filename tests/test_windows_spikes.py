@@ -4,7 +4,7 @@ import datetime
 import math
 import random
 
-import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,14 +177,19 @@ def test_per_brand_thresholds(spark):
 
 
 def test_state_is_carried_over_batches():
-    frame = pd.DataFrame({
-        "brand": ["a"] * 12 + ["b"] * 12, "neg_count": [float(c) for c in (CALM * 4)[:24]], "volume": 9,
-        "neg_ratio": 0.5, "_end_ms": list(range(0, 24 * 60000, 60000)), "limit_alpha": 0.3,
-        "limit_spike_k": 1.0, "limit_min_volume": 1, "limit_min_neg_ratio": 0.1, "limit_cooldown_seconds": 60})
-    whole = pd.concat(spikes.scan(iter([frame])))
-    parts = pd.concat(spikes.scan(iter([frame[:5], frame[5:13], frame[13:13], frame[13:]])))
-    pd.testing.assert_frame_equal(whole.reset_index(drop=True), parts.reset_index(drop=True))
-    assert whole["z_score"].tolist()[:5] == [0.0] * 5 and whole["z_score"].tolist()[12:17] == [0.0] * 5
+    batch = pa.RecordBatch.from_pydict({
+        "brand": ["a"] * 12 + ["b"] * 12, "neg_count": (CALM * 4)[:24], "volume": [9] * 24,
+        "neg_ratio": [0.5] * 24, "end_ms": list(range(0, 24 * 60000, 60000))})
+    limits = Thresholds(0.3, 1.0, 1, 0.1, 60)
+
+    def walked(*parts):
+        return [row for out in spikes.scan(iter(parts), limits, {}) for row in out.to_pylist()]
+
+    whole = walked(batch)
+    assert whole == walked(batch.slice(0, 5), batch.slice(5, 8), batch.slice(13, 0), batch.slice(13))
+    scores = [r["z_score"] for r in whole]
+    assert scores[:5] == scores[12:17] == [0.0] * 5 and scores[5] != 0 != scores[17]
+    assert any(r["alert"] for r in whole)
 
 
 def test_small_batches_and_many_brands_on_spark(spark):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 import yaml
@@ -105,4 +105,3 @@ def brand_from_mapping(entry: Mapping) -> Brand:
     return Brand(str(entry["name"]), tuple(str(k).lower() for k in keywords), tuple(communities))
 
 
-THRESHOLD_NAMES = tuple(f.name for f in fields(Thresholds))
