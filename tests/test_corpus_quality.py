@@ -6,7 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators.dedupe import first_per_key
-from tidewatch.operators.sampling import exact_split, first_rows, hash_split, sample_rows, shuffle_rows
+from tidewatch.operators.sampling import (
+    exact_split,
+    first_rows,
+    hash_split,
+    sample_rows,
+    shuffle_rows,
+    with_position,
+)
 from tidewatch.plans import corpus, quality
 from tidewatch.sinks import reports
 from tidewatch.sources.tables import public_corpus
@@ -38,6 +45,8 @@ def test_sample_and_shuffle(spark):
         got = {r["id"] for r in sample_rows(spark.range(1000), n, "id", seed=3).collect()}
         assert got == set(in_order(1000, 3)[:n])
     assert [r["id"] for r in shuffle_rows(spark.range(50), "id").collect()] == in_order(50)
+    placed = with_position(spark.range(700), "id").orderBy("position").collect()
+    assert [r["id"] for r in placed] == in_order(700) and [r["position"] for r in placed] == list(range(1, 701))
     assert [r["id"] for r in first_rows(spark.range(50), 3, F.desc("id")).collect()] == [49, 48, 47]
 
 

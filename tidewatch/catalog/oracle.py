@@ -418,7 +418,8 @@ def oracle_sql() -> dict[str, str]:
                                   ELSE 'test' END AS split
             FROM (SELECT event_id, row_number() OVER (ORDER BY md5('42:' || event_id)) AS rn,
                          count(*) OVER () AS n FROM events)""",
-        "seeded_order": "SELECT event_id FROM events ORDER BY md5('42:' || event_id) LIMIT 50",
+        "seeded_order": """
+            SELECT event_id, row_number() OVER (ORDER BY md5('42:' || event_id)) AS position FROM events""",
         "first_messages": f"""WITH {_EVENT_MESSAGES}
             SELECT id, author, score FROM event_messages WHERE brand = 'error'
             ORDER BY event_time, id LIMIT 100""",

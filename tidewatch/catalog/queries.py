@@ -457,9 +457,7 @@ def exact_event_split(spark, path):
 
 @query
 def seeded_order(spark, path):
-    """The first rows of the seeded shuffle."""
-    shuffled = sampling.shuffle_rows(table(spark, path, "events").select("event_id"), "event_id")
-    return shuffled.limit(50)
+    return sampling.with_position(table(spark, path, "events").select("event_id"), "event_id")
 
 
 @query

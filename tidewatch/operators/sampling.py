@@ -64,6 +64,24 @@ def shuffle_rows(df: DataFrame, *ids: str, seed: int = 42) -> DataFrame:
     return df.orderBy(random_key(seed, *ids))
 
 
+def with_position(df: DataFrame, *ids: str, seed: int = 42, into: str = "position") -> DataFrame:
+    """Add every row's place, from 1, in the seeded random order.
+
+    Rows are ranked inside buckets of the hash (all about equally full) and shifted by the rows
+    of the buckets before, of which there are 65,536 at most to broadcast.
+    """
+    keyed = _keyed(df, seed, ids).withColumn("_bucket", F.left(F.col(_KEY), F.lit(4)))
+    upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy("_bucket").agg(F.count("*").alias("_count"))
+    offsets = counts.select(
+        "_bucket", F.coalesce(F.sum("_count").over(upto), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(_KEY))
+    return (
+        keyed.withColumn(into, inside).join(F.broadcast(offsets), "_bucket")
+        .withColumn(into, F.col(into) + F.col("_offset")).drop(_KEY, "_bucket", "_offset")
+    )
+
+
 def exact_split(
     df: DataFrame, *ids: str, seed: int = 42, train: float = 0.8, val: float = 0.1
 ) -> DataFrame:
