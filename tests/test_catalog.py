@@ -6,6 +6,7 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry
+from tidewatch.catalog import oracle, queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -17,10 +18,12 @@ def database():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
+    assert set(entry.queries()) >= set(queries.queries())
+    assert set(entry.queries()) >= set(entry.oracle_sql()) >= set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries.queries()))
 def test_query(spark, database, name):
     assert difference(entry.queries()[name](spark, FOLDER), database, entry.oracle_sql()[name]) == ""
 
@@ -34,7 +37,7 @@ WRITERS = {"upsert_aggregates", "append_alerts", "dump_folder_scan", "stored_agg
 
 
 def test_plans_hold_no_cross_join_and_scan_few_columns(spark):
-    for name, query in entry.queries().items():
+    for name, query in queries.queries().items():
         if name in STREAMS | WRITERS:
             continue
         plan = query(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
