@@ -6,16 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import simhash
+from tidewatch.llm import quality, simhash
 from tidewatch.llm.common import read
 
 
+def op8_quality(spark: SparkSession, path: str) -> DataFrame:
+    return quality.predictions(read(spark, path, "documents"), read(spark, path, "labels"))
+
+
 def op10_simhash(spark: SparkSession, path: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, path, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_simhash": op10_simhash}
+    return {
+        "op8_quality": op8_quality,
+        "op10_simhash": op10_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
