@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import quality, simhash
+from tidewatch.llm import decontam, quality, simhash
 from tidewatch.llm.common import read
 
 
+def op1_decontamination(spark: SparkSession, path: str) -> DataFrame:
+    found = decontam.contaminated(read(spark, path, "documents"), read(spark, path, "benchmark"))
+    return found.drop("print")
+
+
 def op8_quality(spark: SparkSession, path: str) -> DataFrame:
     return quality.predictions(read(spark, path, "documents"), read(spark, path, "labels"))
 
@@ -20,6 +25,7 @@ def op10_simhash(spark: SparkSession, path: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op8_quality": op8_quality,
         "op10_simhash": op10_simhash,
     }
