@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontam, quality, simhash
+from tidewatch.llm import decontam, pii, quality, simhash
 from tidewatch.llm.common import read
 
 
@@ -15,6 +15,10 @@ def op1_decontamination(spark: SparkSession, path: str) -> DataFrame:
     return found.drop("print")
 
 
+def op6_pii(spark: SparkSession, path: str) -> DataFrame:
+    return pii.report(read(spark, path, "documents"))
+
+
 def op8_quality(spark: SparkSession, path: str) -> DataFrame:
     return quality.predictions(read(spark, path, "documents"), read(spark, path, "labels"))
 
@@ -26,6 +30,7 @@ def op10_simhash(spark: SparkSession, path: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op6_pii": op6_pii,
         "op8_quality": op8_quality,
         "op10_simhash": op10_simhash,
     }
