@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chat, decontam, hilbert, packing, pii, quality, records, simhash
+from tidewatch.llm import (
+    chat,
+    decontam,
+    hilbert,
+    langid,
+    packing,
+    pii,
+    quality,
+    records,
+    simhash,
+    toxicity,
+)
 from tidewatch.llm.common import read
 from tidewatch.session import shared_dir
 
@@ -48,10 +59,18 @@ def op6_pii(spark: SparkSession, path: str) -> DataFrame:
     return pii.report(read(spark, path, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, path: str) -> DataFrame:
+    return toxicity.predictions(read(spark, path, "documents"), read(spark, path, "labels"))
+
+
 def op8_quality(spark: SparkSession, path: str) -> DataFrame:
     return quality.predictions(read(spark, path, "documents"), read(spark, path, "labels"))
 
 
+def op9_language(spark: SparkSession, path: str) -> DataFrame:
+    return langid.predictions(read(spark, path, "documents"))
+
+
 def op10_simhash(spark: SparkSession, path: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, path, "documents"))
 
@@ -64,7 +83,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_chat": op4_chat,
         "op5_packing": op5_packing,
         "op6_pii": op6_pii,
+        "op7_toxicity": op7_toxicity,
         "op8_quality": op8_quality,
+        "op9_language": op9_language,
         "op10_simhash": op10_simhash,
     }
 
