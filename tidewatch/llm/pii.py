@@ -199,7 +199,8 @@ def report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of ``docs``; every span of the text replaced by its kind in angle brackets.
 
-    Overlapping spans are replaced as one, under the kind of the first.
+    Overlapping spans are replaced as one, under the kind of the first. A column ``n_chars``
+    follows the text where that has changed.
     """
     table = spans(docs).select("doc_id", "print", F.array_sort(
         F.concat("base", "found"), lambda a, b: F.when(a["start"] < b["start"], -1).when(
@@ -223,6 +224,10 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         docs[text].substr((from_end(i) + 1).cast("int"), (s["start"] - from_end(i)).cast("int")),
         F.lit("<"), F.upper(s["kind"]), F.lit(">")))
     rest = docs[text].substr((_last(F.col("_spans"))["end"] + 1).cast("int"), F.length(docs[text]))
-    clean = F.when(F.col("_id").isNull() & F.col("_print").isNull(), docs[text]).otherwise(
+    clean = F.when(F.col("_spans").isNull(), docs[text]).otherwise(
         F.concat(F.array_join(pieces, ""), rest))
-    return joined.select(*[clean.alias(text) if c == text else docs[c] for c in docs.columns])
+    changed = {text: clean}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("_spans").isNull(), docs["n_chars"]).otherwise(
+            F.length(clean).cast(docs.schema["n_chars"].dataType))
+    return joined.select(*[changed[c].alias(c) if c in changed else docs[c] for c in docs.columns])

@@ -21,10 +21,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import byte_texts, named, stage_table
+from tidewatch.llm.common import byte_texts, named, small, stage_table
 from tidewatch.llm.components import components
 
 BITS = 64
@@ -64,17 +64,17 @@ def fingerprint(data: bytes, words: int = WORDS) -> int:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  words: int = WORDS) -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (the 64 bits as a signed long) of every row."""
+    """``doc_id``, ``print`` (a hash of the text) and ``fingerprint`` (as a signed long) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint(x, words) for x in byte_texts(batch["text"])]
             yield pa.record_batch({
-                "doc_id": batch["doc_id"],
+                "doc_id": batch["doc_id"], "print": batch["print"],
                 "fingerprint": pa.array(np.array(values, np.uint64).view(np.int64))})
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return named(docs, doc_id=doc_id, text=text).mapInArrow(
-        run, f"doc_id {kind}, fingerprint bigint")
+    return named(docs, doc_id=doc_id, text=text).select("doc_id", "text", F.xxhash64("text").alias(
+        "print")).mapInArrow(run, f"doc_id {kind}, print bigint, fingerprint bigint")
 
 
 @dataclass(frozen=True)
@@ -325,24 +325,58 @@ def links(prints: DataFrame, distance: int = DISTANCE, plan: Plan | None = None,
     return edges
 
 
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
+            distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
+    """``doc_id``, ``print``, ``fingerprint`` (long), ``root`` (of the class), ``component_id`` and
+    ``copies`` (rows of the same fingerprint) of every row."""
+    prints = stage_table(fingerprints(docs, doc_id, text, words), "simhash-prints")
+    distinct = stage_table(prints.groupBy("fingerprint").agg(
+        F.min("doc_id").alias("first"), F.count("*").alias("copies")), "simhash-distinct")
+    roots = components(links(distinct, distance, bucket=bucket))
+    rooted = distinct.join(
+        roots, distinct["fingerprint"] == roots["node"], "left").select(
+        "fingerprint", "first", "copies", F.coalesce("root", "fingerprint").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return prints.join(rooted.join(least, "root").drop("first"), "fingerprint")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     words: int = WORDS, distance: int = DISTANCE,
                     bucket: int = BUCKET) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` and ``links`` per row.
+    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` and ``copies`` per row.
 
     ``component_id`` is the smallest doc_id reachable through links, itself included; ``copies``
     counts the rows that share the fingerprint.
     """
-    prints = stage_table(fingerprints(docs, doc_id, text, words), "simhash-prints")
-    distinct = stage_table(prints.groupBy("fingerprint").agg(
-        F.min("doc_id").alias("first"), F.count("*").alias("copies")), "simhash-distinct")
-    roots = components(links(distinct, distance, bucket=bucket))
-    classes = distinct.join(
-        roots, distinct["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "first", "copies",
-        F.coalesce("root", "fingerprint").alias("root"))
-    least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = classes.join(least, "root").select("fingerprint", "component_id", "copies")
-    return prints.join(labels, "fingerprint").select(
+    return classes(docs, doc_id, text, words, distance, bucket).select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id", "copies")
+
+
+def _of(docs: DataFrame, keys: DataFrame) -> Column:
+    return (docs["doc_id"].eqNullSafe(keys["id"])
+            & F.xxhash64(docs["text"]).eqNullSafe(keys["of"]))
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One row of each class of near-duplicates, with all columns of ``docs``.
+
+    It is the row of the smallest doc_id (null ids come last, then the hash of the text decides);
+    of repeated rows one stays. What is joined is the table of rows to drop, not the texts.
+    """
+    rows = classes(docs).select(F.col("doc_id").alias("id"), F.col("print").alias("of"), "root")
+    order = F.struct(F.col("id").isNull(), "id", "of")
+    first = rows.groupBy("root").agg(F.min(order).alias("k")).select("root", "k.id", "k.of")
+    counted = stage_table(rows.groupBy("root", "id", "of").count(), "simhash-rows")
+    kept = stage_table(counted.join(first.withColumnsRenamed({"root": "r", "id": "i", "of": "o"}), (
+        F.col("root") == F.col("r")) & F.col("id").eqNullSafe(F.col("i"))
+        & F.col("of").eqNullSafe(F.col("o"))).select("id", "of", "count"), "simhash-kept")
+    gone = stage_table(counted.select("id", "of").subtract(kept.select("id", "of")), "simhash-gone")
+    out = docs.join(small(gone), _of(docs, gone), "left_anti")
+    again = kept.where("count > 1").select("id", "of")
+    if not again.limit(1).count():
+        return out
+    many = out.join(again, _of(out, again), "left_semi").withColumn("_print", F.xxhash64("text"))
+    by = Window.partitionBy("doc_id", "_print").orderBy(F.xxhash64(*docs.columns))
+    one = many.withColumn("_place", F.row_number().over(by)).where("_place = 1").select(*docs.columns)
+    return out.join(again, _of(out, again), "left_anti").unionByName(one)
