@@ -1,0 +1,124 @@
+"""Token ids, binary records and packing against plain encoding and exact round trips."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tidewatch.llm import packing, records, tokens
+from tidewatch.session import shared_dir
+
+TEXTS = [None, "", " \n", "One two, three. One TWO!!", "é éÉ İ ﬁ 中文字 don't we'll", "x" * 3000,
+         "<|endoftext|> and <|ENDOFTEXT|>", "word " * 3000, "tab\tand\x0bother\x85space", "word " * 3000]
+
+
+def plain(text, path=None):
+    found = tokens.encoder(path or tokens.default_path()).tokenizer.encode(text or "", add_special_tokens=False)
+    return np.array(found.ids, "<u4")
+
+
+def test_cached_ids_are_those_of_whole_texts(monkeypatch):
+    rng = random.Random(2)
+    signs = ["a", "B", "é", "Σ", "ß", "'s", "don't", " ", "\n", "\x0b", "\x85", " ", "1", "23", ".", ",",
+             "…", "<|endoftext|>", "<|", "|>", "́", "ﬁ", "中", "한", "İ", "!!", "***", "ǅ", "ͅ", "😀"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    encoder = tokens.Encoder(tokens.default_path())
+    for bound in (1 << 20, 100):
+        monkeypatch.setattr(tokens, "CACHED", bound)
+        for i in range(0, len(texts), 500):
+            part = texts[i:i + 500]
+            got = encoder.encode([t.encode() for t in part])
+            assert got == encoder._plain(part)
+    assert len(encoder.known) < 4000
+
+
+def test_records_round_trip(spark, frame):
+    rows = [(i * 7 - 5, t) for i, t in enumerate(TEXTS)] + [(None, "null id"), (2, "again"), (2, "again")]
+    folder = shared_dir(spark, "test-records")
+    records.write(frame(rows), folder, shard_bytes=9000)
+    index = records.index(spark, folder).collect()
+    want = sorted(((i, np.append(plain(t), 2).astype("<u4")) for i, t in rows),
+                  key=lambda x: (x[0] is not None, x[0] or 0))
+    start = 0
+    got = sorted(index, key=lambda r: r["start"])
+    assert len({r["shard"] for r in got}) > 2 and [r["doc_id"] for r in got] == [i for i, _ in want]
+    by_id = sorted((str(i), len(x), zlib.crc32(x.tobytes())) for i, x in want)
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["ids_crc32"]) for r in got) == by_id
+    for r in got:
+        assert r["start"] == start
+        start += r["n_tokens"]
+    mixed = records.shuffled(spark, folder, seed=3).collect()
+    assert sorted((str(r["doc_id"]), len(r["ids"]), zlib.crc32(np.array(r["ids"], "<u4").tobytes()))
+                  for r in mixed) == by_id
+    assert [r["place"] for r in mixed] == sorted(r["place"] for r in mixed)
+    assert [r["doc_id"] for r in records.shuffled(spark, folder, 4).collect()] != [r["doc_id"] for r in mixed]
+
+
+def test_damage_is_seen():
+    data = records.frame(7, np.arange(9, dtype="<u2").tobytes()) + b"\n"
+    doc_id, ids, end = records.unframe(data, 0)
+    assert (doc_id, ids.tolist(), end) == (7, list(range(9)), len(data))
+    for at in range(len(data)):
+        with pytest.raises(ValueError, match="damaged"):
+            records.unframe(data[:at] + bytes([data[at] ^ 1]) + data[at + 1:], 0)
+    with pytest.raises(ValueError, match="damaged"):
+        records.unframe(data[:-3], 0)
+
+
+def test_no_records_of_an_empty_table(spark, frame):
+    folder = shared_dir(spark, "test-records")
+    records.write(frame([]), folder)
+    assert records.index(spark, folder).count() == 0 and records.shuffled(spark, folder).count() == 0
+
+
+def test_differencing_balances():
+    rng = np.random.default_rng(1)
+    for windows in (1, 2, 3, 17):
+        lengths = rng.integers(1, 500, 150)
+        found = packing.difference(lengths, windows)
+        assert sorted(i for w in found for i in w) == list(range(150)) and len(found) == windows
+        sums = [lengths[w].sum() for w in found]
+        assert max(sums) - min(sums) <= 25
+    assert sorted(map(len, packing.difference(np.array([5, 5]), 4))) == [1, 1]
+    # The textbook case: two windows of 16 and 14.
+    assert sorted(int(np.array([4, 5, 6, 7, 8])[w].sum()) for w in packing.difference(np.array([4, 5, 6, 7, 8]), 2)) == [14, 16]
+
+
+def test_windows_rise_beyond_the_capacity():
+    assert len(packing.balanced(np.array([6, 6, 6]), 10)) == 3  # two windows would hold 12
+    assert packing.balanced(np.array([], np.int64)) == []
+    lengths = np.random.default_rng(2).integers(1, 512, 900)
+    found = packing.balanced(lengths, 2048)
+    assert max(lengths[w].sum() for w in found) <= 2048
+    assert lengths.sum() / (2048 * len(found)) > 0.97
+
+
+def test_packed_pieces_round_trip(frame):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "null id"), (None, "null id"), (2, "again")]
+    packed = packing.pack(frame(rows), group_bytes=8000)
+    got = packed.collect()
+    want = sorted(np.append(plain(t), 1).astype("<u4").tobytes() for _, t in rows)
+    documents, places = {}, {}
+    for r in got:
+        assert len(r["ids"]) == 4 * r["length"] and r["length"] > 0
+        places.setdefault(r["sequence_id"], []).append(r)
+        documents.setdefault((r["doc_id"], r["doc_tokens"]), []).append(r)
+    for parts in places.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 2048
+    whole = []
+    for (_, n), parts in documents.items():
+        copies = sum(r["length"] for r in parts) // n
+        parts = sorted(parts, key=lambda r: r["start"])
+        for c in range(copies):  # equal rows have equal pieces
+            own = parts[c::copies]
+            assert [r["start"] for r in own] == [sum(x["length"] for x in own[:k]) for k in range(len(own))]
+            whole.append(b"".join(bytes(r["ids"]) for r in own))
+    assert sorted(whole) == want
+    for r in packing.sequences(packed, pad_id=0).collect():
+        assert len(r["ids"]) == 4 * (r["length"] if r["length"] & (r["length"] - 1) == 0 else 2048)
+    assert packing.pack(frame([])).count() == 0

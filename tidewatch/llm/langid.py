@@ -48,8 +48,8 @@ def gram_counts(text: str) -> np.ndarray | None:
     if not is_letter.any():
         return None
     codes = np.where(is_letter, codes, 32)
-    kept = is_letter | np.concatenate([[True], is_letter[:-1]])  # one gap between words
-    codes = np.concatenate([[32], codes[kept], [32]])
+    codes = codes[is_letter | np.concatenate([[False], is_letter[:-1]])]  # one gap between words
+    codes = np.concatenate([[32], codes[:-1] if codes[-1] == 32 else codes, [32]])
     out = np.zeros(BUCKETS, np.int64)
     value = np.zeros(len(codes), np.int64)
     for n in range(1, GRAMS + 1):

@@ -35,8 +35,9 @@ NEAR_YOU = re.compile(rb"\b(?:you|your|you're|u)\b\W+(?:\w+\W+){0,2}?(" + "|".jo
 LEXICONS = 6
 #: Beginnings of words are terms like words, marked by a star. Lengths in bytes.
 PREFIXES = (4, 5, 6)
-#: Terms of a lexicon: seen in so many toxic texts, whose share is surely so many times the usual.
-SEEN, SURE, TIMES = 5, 3.0, 3.0
+#: Terms of a lexicon: seen in so many toxic texts, whose share among all texts with the term
+#: surely lies so far between the usual one and all.
+SEEN, SURE, ABOVE = 5, 3.0, 0.25
 LEXICON_TERMS, FEATURE_TERMS = 192, 512
 CACHED = 500_000
 VOTERS = LEXICONS + 5
@@ -116,7 +117,7 @@ def induce(sample: DataFrame) -> Words:
     low = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
     scored = counts.withColumn("surprise", surprise).withColumn("low", low)
     listed = scored.where((F.col("bad") >= SEEN) & (
-        F.col("low") >= F.lit(min(TIMES * bad / (bad + good), 0.9))))
+        F.col("low") >= F.lit((bad + ABOVE * good) / (bad + good))))
     lexicon = [bytes(r["word"]) for r in listed.orderBy(
         F.desc("surprise"), "word").limit(LEXICON_TERMS).collect()]
     other = [bytes(r["word"]) for r in scored.orderBy(
