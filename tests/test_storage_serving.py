@@ -138,9 +138,9 @@ def test_serving(spark):
     assert serving.window_count(got).first()[0] == 4
     assert serving.trend(got).where("measure = 'neg_count' and chart = 'counts'").count() == 4
     assert serving.series(stored, "a").isEmpty()  # now is long after
-    for minutes in (0, 1441):
-        with pytest.raises(ValueError):
-            serving.series(stored, "a", minutes)
+    assert serving.series(stored, "a", 100_000, as_of).count() == 10
+    with pytest.raises(ValueError):
+        serving.series(stored, "a", 0)
 
 
 def test_alert_queries(spark):
@@ -157,6 +157,7 @@ def test_alert_queries(spark):
     assert lines[2].startswith("⚠️ ") and "z=2.67" in lines[2]  # the 32-bit value lies below the tie
     assert lines[4].startswith("🟡 ") and "z=1.12" in lines[4]  # an exact tie goes to the even digit
     assert serving.recent_alerts(active).columns == list(serving.RECENT)
-    for limit in (0, 501):
-        with pytest.raises(ValueError):
-            serving.alerts(stored, limit=limit)
+    many = stored.crossJoin(spark.range(200).select(F.col("id").alias("n"))).drop("n")
+    assert serving.alerts(many, active=True, as_of=as_of).count() == 11 * 200
+    with pytest.raises(ValueError):
+        serving.alerts(stored, limit=0)

@@ -88,7 +88,7 @@ def message_view(spark: SparkSession, path: str) -> DataFrame:
 def scored_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole document texts, cleaned and scored; the text is then cut to a sample."""
     texts = spread(documents(spark, path).select("doc_id", "text"))
-    scored = score_messages(clean_messages(texts, F.col("text"), limit=None), SCORER)
+    scored = score_messages(clean_messages(texts, F.col("text")), SCORER)
     return scored.withColumn("text", clip(F.col("text"), SAMPLE_LIMIT))
 
 

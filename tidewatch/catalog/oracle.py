@@ -350,11 +350,11 @@ def oracle_sql() -> dict[str, str]:
                    AS label, {_round('p1', 9)} AS neg_prob, {_round('greatest(p1, p2, p3)', 9)} AS confidence
             FROM p""",
         "scored_records": _scored(f"""
-            SELECT conv_id * 1000000 + turn AS k, left(t, 512) AS text
+            SELECT conv_id * 1000000 + turn AS k, t AS text
             FROM (SELECT *, {_clean("concat_ws(' ', nullif(role, ''), nullif(text, ''))")} AS t
                   FROM conversations)
             WHERE length(t) >= 5""", """
-            SELECT k // 1000000 AS conv_id, k % 1000000 AS turn, text, label, neg_prob
+            SELECT k // 1000000 AS conv_id, k % 1000000 AS turn, left(text, 512) AS text, label, neg_prob
             FROM verdicts JOIN texts USING (k)"""),
         "sliding_aggregates": _over_windows("SELECT * FROM windows"),
         "stored_aggregates": _over_windows("SELECT * FROM windows"),
@@ -392,8 +392,7 @@ def oracle_sql() -> dict[str, str]:
         "latest_alerts": _over_alerts(
             "SELECT * FROM alert_table ORDER BY triggered_at DESC, id LIMIT 20"),
         "active_alerts": _over_alerts(f"""
-            SELECT * FROM alert_table WHERE triggered_at >= {_NOW} - 3600
-            ORDER BY triggered_at DESC, id LIMIT 50"""),
+            SELECT * FROM alert_table WHERE triggered_at >= {_NOW} - 3600"""),
         "alert_headlines": _over_alerts(f"""
             SELECT id, triggered_at, {_SIGN} || ' **' || brand || '** — z=' || printf('%.2f', z_score)
                    || ', neg_ratio=' || printf('%.2f', neg_ratio) || ', volume=' || volume AS headline,

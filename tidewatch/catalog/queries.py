@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewatch.catalog import inputs
 from tidewatch.catalog.inputs import AS_OF, BRANDS, DETECTION, LEXICON, PER_BRAND, SCORER, table
+from tidewatch.config import Brand
 from tidewatch.functions import sentiment, text
 from tidewatch.functions.numbers import epoch_millis, epoch_seconds, round_even
 from tidewatch.operators import brands, contracts, messages, normalise, sampling, spikes, windows
@@ -119,6 +120,8 @@ def json_drop_malformed(spark, path):
     value = (
         F.when(kind == "signup", F.concat(F.lit("["), props, F.lit("]")))
         .when(kind == "error", "null").when(kind == "click", F.substring(props, 2, 100))
+        .when(F.col("event_id") % 3 == 0, F.regexp_replace(props, r'": (\d+)', r'": "$1"'))
+        .when(F.col("event_id") % 3 == 1, F.regexp_replace(props, r'": (\d+)', r'": $1.0'))
         .otherwise(props))
     lines = table(spark, path, "events").select("event_id", value.alias("value"))
     return messages.decode(lines, "value", StructType([StructField("k", LongType())]))
@@ -148,7 +151,8 @@ def brand_match(spark, path):
 @query
 def brand_match_large(spark, path):
     texts = spread(inputs.documents(spark, path).select("doc_id", "text"))
-    return brands.match_brand_by_join(texts, "text", "doc_id", BRANDS).select("doc_id", "brand")
+    filler = [Brand(f"filler{i}", (f"filler{i}x", f"filler {i}y")) for i in range(1000)]
+    return brands.keep_matched(texts, "text", [*filler, *BRANDS]).select("doc_id", "brand")
 
 
 @query
@@ -167,7 +171,7 @@ def brand_counters(spark, path):
 @query
 def clean_text(spark, path):
     texts = spread(inputs.documents(spark, path).select("doc_id", "text"))
-    cleaned = messages.clean_messages(texts, F.col("text"), limit=None)
+    cleaned = messages.clean_messages(texts, F.col("text"))
     return cleaned.select(
         "doc_id", F.length("text").alias("characters"), F.md5("text").alias("text_md5"),
         text.clip(F.col("text"), text.MESSAGE_LIMIT).alias("message_text"))
@@ -231,11 +235,11 @@ def softmax_argmax(spark, path):
 
 @query
 def scored_records(spark, path):
-    """The scored-message contract: text of 512 characters at most, scored as it is sent on."""
+    """The scored-message contract: whole texts are scored, 512 characters of them sent on."""
     turns = table(spark, path, "conversations").select(
         "conv_id", "turn", F.col("role").alias("author"), F.col("role").alias("title"),
         F.col("text").alias("body"))
-    return score_messages(messages.clean_messages(spread(turns)), SCORER).select(
+    return messages.sent_on(score_messages(messages.clean_messages(spread(turns)), SCORER)).select(
         "conv_id", "turn", "text", "label", "neg_prob")
 
 
@@ -400,7 +404,7 @@ def latest_alerts(spark, path):
 
 @query
 def active_alerts(spark, path):
-    rows = serving.alerts(_alert_table(spark, path), active=True, as_of=AS_OF)
+    rows = serving.alerts(_alert_table(spark, path), active=True, limit=None, as_of=AS_OF)
     return _doubles(_seconds(rows, "triggered_at", "window_start", "window_end"),
                     "z_score", "neg_ratio")
 
@@ -413,7 +417,7 @@ def alert_headlines(spark, path):
 
 @query
 def recent_alert_table(spark, path):
-    rows = serving.recent_alerts(serving.alerts(_alert_table(spark, path)))
+    rows = serving.recent_alerts(serving.alerts(_alert_table(spark, path), limit=50))
     return _doubles(_seconds(rows, "triggered_at"), "z_score", "neg_ratio")
 
 

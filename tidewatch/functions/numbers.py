@@ -24,7 +24,7 @@ def lenient_double(value: Column | str, default: float = 0.0) -> Column:
     return F.coalesce(F.when(text.rlike(_NUMBER), text.try_cast("double")), F.lit(default))
 
 
-def lenient_long(value: Column | str, default: int = 0) -> Column:
+def lenient_long(value: Column | str, default: int | None = 0) -> Column:
     """Through double, cut toward zero; whatever does not fit is ``default``."""
     number = lenient_double(value, float("nan"))
     return F.coalesce(
@@ -65,9 +65,15 @@ def from_epoch_seconds(seconds: Column | str) -> Column:
 
 
 def event_time(created: Column | str, broker_time: Column | None = None) -> Column:
-    """Event time of a message; a number that cannot be used falls back to the broker's time."""
-    stamp = F.timestamp_millis((_column(created).try_cast("double") * 1000).try_cast("bigint"))
-    return F.coalesce(stamp, broker_time) if broker_time is not None else stamp
+    """Event time of a message; a number that is no time falls back to the broker's time.
+
+    A message without any number has no event time.
+    """
+    number = _column(created).try_cast("double")
+    stamp = F.timestamp_millis((number * 1000).try_cast("bigint"))
+    if broker_time is None:
+        return stamp
+    return F.when(number.isNotNull(), F.coalesce(stamp, broker_time))
 
 
 def reach_weight(score: Column | str) -> Column:

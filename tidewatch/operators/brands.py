@@ -4,19 +4,16 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewatch.config import Brand
 
-# Above this many keywords testing each of them is slower than looking the text's words up.
-MANY_KEYWORDS = 500
-# The keyword table is broadcast only up to this many rows (some hundred bytes each).
-BROADCAST_KEYWORDS = 1_000_000
-
+# Keywords per bucket of the constant look-up table, on average.
+_PER_BUCKET = 8
 _WORD = r"\p{L}\p{N}_"
 _CUT = "\x01"
 
@@ -38,91 +35,68 @@ def keyword_pattern(keyword: str) -> str:
     return left + re.escape(keyword) + right
 
 
-def match_brand(text: Column, brands: Sequence[Brand]) -> Column:
-    """Name of the first brand, in dictionary order, with any keyword in ``text``; else null.
-
-    A plain substring test goes before each pattern and spares most texts the pattern. The
-    one-element array makes Spark lower the text once and not once per keyword.
-    """
-    def first(lowered: Column) -> Column:
-        return F.coalesce(*[
-            F.when(reduce(Column.__or__, [
-                lowered.contains(k) & lowered.rlike(keyword_pattern(k)) for k in b.keywords]),
-                b.name)
-            for b in known])
-
-    known = [b for b in brands if b.keywords]
-    if not known:
-        return F.lit(None).cast("string")
-    return F.get(F.transform(F.array(F.lower(text)), first), 0)
-
-
 def _split_at_edges(keyword: str) -> list[str]:
     """The runs of word and of other characters, in order."""
     return re.findall(r"\w+|\W+", keyword)
 
 
-def match_brand_by_join(
-    df: DataFrame, text: str, key: str, brands: Sequence[Brand], how: str = "inner"
-) -> DataFrame:
-    """The rows of ``df`` that match a brand, with its name as ``brand``; for large dictionaries.
-
-    All rows with ``how="left"``; those without a match then have no brand.
+def match_brand(text: Column, brands: Sequence[Brand]) -> Column:
+    """Name of the first brand, in dictionary order, with any keyword in ``text``; else null.
 
     Text and keywords get a separator at every word boundary. A keyword then is in the text
-    between boundaries exactly if its marked form is a plain substring, and its longest word
-    must be among the words of the text, which gives an equi-join. ``key`` identifies a row.
+    between boundaries exactly if its marked form is a plain substring, and its longest word is
+    among the words of the text. These words are looked up in a constant table, an array of
+    small maps by checksum, so the work per text does not grow with the dictionary, and nothing
+    is joined, shuffled or copied. Keywords without any word character stay patterns.
     """
-    rows = []
-    wordless = []
+    rows: list[tuple[str, str, int]] = []
+    wordless: list[tuple[str, int]] = []
     for order, brand in enumerate(brands):
         for keyword in brand.keywords:
             runs = _split_at_edges(keyword)
             anchors = [run for run in runs if _is_word(run[0])]
             if anchors:
-                marked = _CUT + _CUT.join(runs) + _CUT
-                rows.append((max(anchors, key=len), marked, order))
+                rows.append((max(anchors, key=len), _CUT + _CUT.join(runs) + _CUT, order))
             else:
-                wordless.append((order, keyword_pattern(keyword)))
-    spark = df.sparkSession
+                wordless.append((keyword_pattern(keyword), order))
+    if not rows and not wordless:
+        return F.lit(None).cast("string")
+    size = max(1, len(rows) // _PER_BUCKET)
+    buckets: list[dict[str, list]] = [{} for _ in range(size)]
+    for word, marked, order in rows:
+        buckets[zlib.crc32(word.encode()) % size].setdefault(word, []).append(
+            {"marked": marked, "order": order})
+    table = F.from_json(
+        F.lit(json.dumps(buckets)), "array<map<string,array<struct<marked:string,order:int>>>>")
     names = F.from_json(F.lit(json.dumps([b.name for b in brands])), "array<string>")
-    table = spark.createDataFrame(rows, "word string, marked string, brand_order int")
-    if len(rows) <= BROADCAST_KEYWORDS:
-        table = F.broadcast(table)
-
-    marked = F.regexp_replace(F.lower(F.col(text)), f"([{_WORD}]+)", f"{_CUT}$1{_CUT}")
-    texts = df.select(F.col(key).alias("_key"), marked.alias("_marked"))
-    found = (
-        texts.select("_key", "_marked", F.explode(
-            F.array_distinct(F.split("_marked", _CUT))).alias("word"))
-        .join(table, "word").where(F.contains("_marked", "marked")).select("_key", "brand_order")
-    )
-    if wordless:
-        # A keyword without any word character cannot be looked up; these stay patterns.
-        firsts = [F.when(F.lower(F.col(text)).rlike(p), F.lit(order)) for order, p in wordless]
-        found = found.unionByName(
-            df.select(F.col(key).alias("_key"), F.coalesce(*firsts).alias("brand_order"))
-            .where("brand_order is not null"))
-    first = found.groupBy("_key").agg(F.min("brand_order").alias("_order"))
-    return (
-        df.join(first, F.col(key) == F.col("_key"), how)
-        .withColumn("brand", F.get(names, F.col("_order"))).drop("_key", "_order")
-    )
+
+    def known(word: Column) -> Column:
+        bucket = F.get(table, F.pmod(F.crc32(word.cast("binary")), F.lit(size)).cast("int"))
+        return F.coalesce(F.try_element_at(bucket, word), F.expr(
+            "CAST(array() AS array<struct<marked:string,order:int>>)"))
+
+    def orders(marked: Column) -> Column:
+        words = F.array_distinct(F.split(marked, _CUT))
+        found = F.flatten(F.transform(words, lambda word: F.transform(
+            F.filter(known(word), lambda k: F.contains(marked, k["marked"])), lambda k: k["order"])))
+        plain = F.replace(marked, F.lit(_CUT), F.lit(""))
+        signs = [F.when(plain.rlike(pattern), F.lit(order)) for pattern, order in wordless]
+        return F.least(F.array_min(found), *signs) if signs else F.array_min(found)
+
+    # One-element arrays make Spark mark the text once and not once per use.
+    clear = F.replace(F.lower(text), F.lit(_CUT), F.lit(" "))
+    marked = F.regexp_replace(clear, f"([{_WORD}]+)", f"{_CUT}$1{_CUT}")
+    return F.get(F.transform(F.transform(F.array(marked), orders), lambda o: F.get(names, o)), 0)
 
 
 def keep_matched(
     df: DataFrame, text: str, brands: Sequence[Brand], counters: Observation | None = None,
-    key: str | None = None,
 ) -> DataFrame:
     """The rows that match a brand, with its name as ``brand``.
 
-    ``counters`` reports how many rows were ``sent`` on and how many ``skipped``. With a
-    ``key`` that identifies a row, a large dictionary is looked up by a join.
+    ``counters`` reports how many rows were ``sent`` on and how many ``skipped``.
     """
-    if key and sum(len(b.keywords) for b in brands) > MANY_KEYWORDS:
-        matched = match_brand_by_join(df, text, key, brands, "left")
-    else:
-        matched = df.withColumn("brand", match_brand(F.col(text), brands))
+    matched = df.withColumn("brand", match_brand(F.col(text), brands))
     if counters is not None:
         matched = matched.observe(
             counters, F.count("brand").alias("sent"),

@@ -4,37 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tidewatch.functions.numbers import event_time
+from tidewatch.functions.numbers import event_time, lenient_long
 from tidewatch.functions.text import MESSAGE_LIMIT, MIN_MESSAGE, clean, clip, is_bot, join_parts
 from tidewatch.schemas import RAW_MESSAGE
 
 UNREADABLE = "_unreadable"
 
 
+def _parsed(value: str | Column, names: list[str]) -> tuple[Column, Column]:
+    """A JSON text as a record of texts, and whether it is a JSON object."""
+    wide = StructType([StructField(n, StringType()) for n in (*names, UNREADABLE)])
+    record = F.from_json(value, wide, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
+    return record, F.coalesce(record.isNotNull() & record[UNREADABLE].isNull(), F.lit(False))
+
+
+def _typed(field: StructField) -> Column:
+    """A field read as text in its type; numbers may be quoted, whole ones have decimals."""
+    text = F.col(f"_record.{field.name}")
+    if isinstance(field.dataType, LongType):
+        whole = F.trim(text).try_cast("bigint")
+        return F.coalesce(whole, lenient_long(text, None))
+    if isinstance(field.dataType, DoubleType):
+        return F.trim(text).try_cast("double")
+    return text.cast(field.dataType)
+
+
 def decode(df: DataFrame, value: str = "value", schema: StructType = RAW_MESSAGE) -> DataFrame:
     """Parse a JSON text column once into typed columns; rows that are no JSON object go.
 
-    Columns of ``df`` other than ``value`` are kept.
+    Every field is read as text first, so a value of another type costs that value at most
+    (it becomes null) and never the record. Columns of ``df`` other than ``value`` are kept.
     """
-    wide = StructType([*schema.fields, StructField(UNREADABLE, StringType())])
-    record = F.from_json(value, wide, {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
+    record, readable = _parsed(value, schema.names)
     others = [c for c in df.columns if c != value]
     return (
-        df.select(*others, record.alias("_record"))
-        .where(F.col("_record").isNotNull() & F.col(f"_record.{UNREADABLE}").isNull())
-        .select(*others, *[F.col(f"_record.{f.name}").alias(f.name) for f in schema])
+        df.select(*others, record.alias("_record"), readable.alias("_readable"))
+        .where("_readable").select(*others, *[_typed(f).alias(f.name) for f in schema])
     )
 
 
 def unreadable(df: DataFrame, value: str = "value") -> DataFrame:
     """The rows ``decode`` leaves out."""
-    record = F.from_json(value, StructType([StructField(UNREADABLE, StringType())]), {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
-    fine = record.isNotNull() & record[UNREADABLE].isNull()
-    return df.where(~F.coalesce(fine, F.lit(False)))
+    return df.where(~_parsed(value, [])[1])
 
 
 def encode(df: DataFrame) -> DataFrame:
@@ -53,18 +67,16 @@ def with_event_time(df: DataFrame, broker_time: str | None = None) -> DataFrame:
     return df.withColumn("event_time", event_time("created_utc", broker))
 
 
-def clean_messages(
-    df: DataFrame, text: Column | None = None, limit: int | None = MESSAGE_LIMIT
-) -> DataFrame:
-    """Add the cleaned ``text``; drop automated authors and texts that are too short.
-
-    The length is tested on the whole cleaned text. ``limit`` is the most characters a
-    message carries on (none: all of them).
-    """
+def clean_messages(df: DataFrame, text: Column | None = None) -> DataFrame:
+    """Add the whole cleaned ``text``; drop automated authors and texts that are too short."""
     raw = join_parts("title", "body") if text is None else text
     kept = df.where(~is_bot("author")) if "author" in df.columns else df
-    return keep_long(kept, clean(raw), "text", MIN_MESSAGE).withColumn(
-        "text", clip(F.col("text"), limit))
+    return keep_long(kept, clean(raw), "text", MIN_MESSAGE)
+
+
+def sent_on(scored: DataFrame, limit: int | None = MESSAGE_LIMIT) -> DataFrame:
+    """Scored messages as they are sent on: with the first ``limit`` characters of their text."""
+    return scored.withColumn("text", clip(F.col("text"), limit))
 
 
 def keep_long(df: DataFrame, text: Column, into: str, shortest: int) -> DataFrame:

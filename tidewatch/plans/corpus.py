@@ -13,25 +13,26 @@ from tidewatch.operators.dedupe import first_per_key
 from tidewatch.operators.messages import keep_long
 from tidewatch.operators.sampling import exact_split, sample_rows
 
-# The names of the two sources, most rows of the weak part.
+# The names of the two sources.
 PUBLIC, WEAK = "public", "reddit_weak"
-WEAK_ROWS = 20_000
 
 
 def weak_corpus(
-    records: DataFrame, order: list[str | Column] | None = None, rows: int | None = WEAK_ROWS,
+    records: DataFrame, order: list[str | Column] | None = None, rows: int | None = None,
     lexicon: Lexicon | None = None, keep: tuple[str, ...] = (),
     limit: int | None = MESSAGE_LIMIT,
 ) -> DataFrame:
     """Texts of dump records with the label the scorer gives them.
 
-    The first ``rows`` texts by ``order`` are taken (none: all). The whole text is scored;
+    All texts are taken, or the first ``rows`` by ``order``, which is needed then. The whole text is scored;
     ``limit`` is how many of its characters the corpus keeps.
     """
     text = strip_space(first_present("body", "selftext", "title"))
     texts = keep_long(records, text, "text", MIN_CORPUS_TEXT)
     if rows is not None:
-        texts = texts.orderBy(*(order or [])).limit(rows) if order else texts.limit(rows)
+        if not order:
+            raise ValueError("a number of rows needs an order")
+        texts = texts.orderBy(*order).limit(rows)
     scored = with_polarity(texts.select(*keep, "text"), "text", lexicon or Lexicon())
     return scored.select(
         *keep, clip(F.col("text"), limit).alias("text"),

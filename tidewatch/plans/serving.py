@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.numbers import round_even
 
-# Columns of the answers, bounds and defaults of the parameters, severity signs.
+# Columns of the answers, default of the minutes, headlines, their text and signs.
 SERIES = ("window_start", "window_end", "volume", "neg_count", "neg_ratio", "avg_neg_prob",
           "unique_authors", "influencer_neg")
 ALERTS = ("id", "brand", "triggered_at", "window_start", "window_end", "z_score", "neg_ratio",
           "volume", "severity", "sample_text")
 RECENT = ("triggered_at", "brand", "severity", "z_score", "neg_ratio", "volume", "sample_text")
-MINUTES, MOST_MINUTES = 120, 1440
-LIMIT, MOST_LIMIT = 50, 500
+MINUTES = 120
 HEADLINES = 10
+HEADLINE = "%s **%s** — z=%.2f, neg_ratio=%.2f, volume=%d"
 SIGNS = {"low": "🟡", "medium": "🟠", "high": "🔴", "critical": "🚨"}
 OTHER_SIGN = "⚠️"
 
@@ -34,8 +34,8 @@ def series(
     aggregates: DataFrame, brand: str, minutes: int = MINUTES, as_of=None
 ) -> DataFrame:
     """A brand's windows that start in the last ``minutes`` before ``as_of`` (now), in order."""
-    if not 1 <= minutes <= MOST_MINUTES:
-        raise ValueError(f"minutes must be from 1 to {MOST_MINUTES}")
+    if minutes < 1:
+        raise ValueError("minutes must be at least 1")
     since = _now(as_of) - F.make_dt_interval(mins=F.lit(minutes))
     recent = (F.col("brand") == brand) & (F.col("window_start") >= since)
     if "window_date" in aggregates.columns:
@@ -44,17 +44,21 @@ def series(
 
 
 def alerts(
-    stored: DataFrame, active: bool = False, limit: int = LIMIT, as_of=None
+    stored: DataFrame, active: bool = False, limit: int | None = None, as_of=None
 ) -> DataFrame:
-    """The latest alerts, newest first; only those of the last hour if ``active``."""
-    if not 1 <= limit <= MOST_LIMIT:
-        raise ValueError(f"limit must be from 1 to {MOST_LIMIT}")
+    """The alerts, newest first; only those of the last hour if ``active``.
+
+    All of them, or the first ``limit``.
+    """
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be at least 1")
     if active:
         since = _now(as_of) - F.make_dt_interval(hours=F.lit(1))
         stored = stored.where(F.col("triggered_at") >= since)
         if "triggered_date" in stored.columns:
             stored = stored.where(F.col("triggered_date") >= since.cast("date"))
-    return stored.select(*ALERTS).orderBy(F.desc("triggered_at"), "id").limit(limit)
+    ordered = stored.select(*ALERTS).orderBy(F.desc("triggered_at"), "id")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def headlines(active_alerts: DataFrame, most: int = HEADLINES) -> DataFrame:
@@ -62,7 +66,7 @@ def headlines(active_alerts: DataFrame, most: int = HEADLINES) -> DataFrame:
     signs = F.create_map(*[F.lit(x) for pair in SIGNS.items() for x in pair])
     sign = F.coalesce(F.try_element_at(signs, F.col("severity")), F.lit(OTHER_SIGN))
     text = F.format_string(
-        "%s **%s** — z=%.2f, neg_ratio=%.2f, volume=%d", sign, "brand",
+        HEADLINE, sign, "brand",
         round_even("z_score", 2), round_even("neg_ratio", 2), "volume")
     return (
         active_alerts.orderBy(F.desc("triggered_at"), "id").limit(most)

@@ -10,13 +10,13 @@ from pyspark.sql.types import StructField, StructType, TimestampType
 
 from tidewatch.config import Detection
 from tidewatch.functions.text import MESSAGE_LIMIT
-from tidewatch.operators.messages import clean_messages
+from tidewatch.operators.messages import clean_messages, sent_on
 from tidewatch.operators.scoring import Scorer, score_messages
 from tidewatch.operators.windows import window_aggregates
 from tidewatch.schemas import SCORED_MESSAGE
 from tidewatch.session import ROCKSDB_PROVIDER
 from tidewatch.sinks.tables import persist_batch, write_aggregates, write_alerts
-from tidewatch.sources.topics import message_stream, table_stream
+from tidewatch.sources.topics import message_stream, rejected_messages, table_stream
 from tidewatch.streaming.detector import detect_spike_stream
 
 # Fixed value: how often a checkpoint is taken.
@@ -29,9 +29,12 @@ def scored_stream(
     records: DataFrame, detection: Detection, scorer: Scorer | None = None,
     limit: int | None = MESSAGE_LIMIT,
 ) -> DataFrame:
-    """Raw topic records as scored messages with a watermark."""
-    messages = clean_messages(message_stream(records, detection), limit=limit)
-    return score_messages(messages, scorer)
+    """Raw topic records as scored messages with a watermark.
+
+    Whole texts are scored; ``limit`` is how many characters are sent on.
+    """
+    messages = clean_messages(message_stream(records, detection))
+    return sent_on(score_messages(messages, scorer), limit)
 
 
 def aggregate_stream(scored: DataFrame, detection: Detection) -> DataFrame:
@@ -81,6 +84,7 @@ def start_monitor(
         queries.append(query)
 
     start(scored_stream(records, detection, scorer), "scored", path=scored_path)
+    start(rejected_messages(records), "rejected", path=f"{root}/rejected")
 
     def scored() -> DataFrame:
         table = table_stream(spark, scored_path, SCORED_TABLE)
