@@ -53,6 +53,33 @@ def test_upsert_last_write_wins(spark, tmp_path):
     assert spark.read.parquet(compact).count() == 3
 
 
+def test_writers_leave_each_other_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_aggregates(aggregates(spark, aggregate("a", 0.0, 1), aggregate("c", 0.0, 4)), path, 0, writer="x")
+    tables.write_aggregates(aggregates(spark, aggregate("b", 0.0, 2), aggregate("c", 0.0, 3)), path, 0, writer="y")
+    got = tables.read_aggregates(spark, path).collect()
+    assert sorted((r["brand"], r["volume"]) for r in got) == [("a", 1), ("b", 2), ("c", 3)]
+    big = aggregates(spark, aggregate("a", 0.0, 5_000_000_000))
+    tables.write_aggregates(big, path, 1, writer="y")
+    assert tables.read_aggregates(spark, path).where("brand = 'a'").first()["volume"] == 5_000_000_000
+    tables.write_alerts(alerts(spark, alert("a", 1000.0)), path + "a", 0, "x")
+    tables.write_alerts(alerts(spark, alert("b", 1000.0)), path + "a", 0, "y")
+    assert tables.read_alerts(spark, path + "a").count() == 2
+
+
+def test_every_record_ends_in_one_place(spark, tmp_path):
+    root = str(tmp_path / "out")
+    lines = [json.dumps(aggregate("a", 0.0, 9)), json.dumps(aggregate("a", 0.0, 3)),
+             json.dumps(aggregate("b", 0.0, "abc")), json.dumps(aggregate("c", 0.0, "7")), "not json", "[1]", "null",
+             json.dumps(aggregate("d", 0.0, 1, window_start="soon")), json.dumps(aggregate("e", 0.0, 2.0)), '{"brand": "f"}']
+    records = spark.createDataFrame([("agg", v) for v in lines], "topic string, value string").coalesce(1)
+    tables.persist_batch(records, "agg", root, 0)
+    stored = {r["brand"]: r["volume"] for r in tables.read_aggregates(spark, f"{root}/aggregates").collect()}
+    rejected = [r["record"] for r in spark.read.json(f"{root}/rejected").collect()]
+    assert stored == {"a": 3, "c": 7, "e": 2}  # of two revisions in a file the last one counts
+    assert sorted(rejected) == sorted(lines[i] for i in (2, 4, 5, 6, 7, 9))
+
+
 def test_revisions_inside_a_batch(spark, tmp_path):
     rows = [aggregate("a", 0.0, v) for v in (3, 9, 4)]
     df = aggregates(spark, *rows).withColumn("offset", F.col("volume") % 8)
@@ -109,6 +136,8 @@ def test_persister_with_dead_letters(spark, tmp_path):
         ("agg", ("record is a JSON object",)), ("alerts", ("record is a JSON object",)),
         ("alerts", ("severity is one of low, medium, high, critical",))}
     assert tables.read_alerts(spark, f"{root}/alerts").count() == 1
+    writers = {r["writer"] for r in spark.read.parquet(f"{root}/aggregates").select("writer").collect()}
+    assert len(writers) == 1 and "batch" not in writers  # the id of the query, also after a restart
     stored = tables.read_aggregates(spark, f"{root}/aggregates")
     assert sorted((r["window_start"].timestamp(), r["volume"], r["influencer_neg"]) for r in stored.collect()) == [
         (0.0, 8, 1.5), (120.0, 3, 0.0)]

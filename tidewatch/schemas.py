@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql.types import (
     DoubleType,
     FloatType,
-    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -50,16 +49,16 @@ ALERT = _struct(
     neg_ratio=_DOUBLE, volume=_LONG, severity=_TEXT, sample_text=_TEXT,
 )
 
-# The same records at rest: UTC timestamps, 32-bit numbers.
+# The same records at rest: UTC timestamps, 32-bit ratios.
 AGGREGATE_TABLE = _struct(
-    brand=_TEXT, window_start=_TIME, window_end=_TIME, volume=IntegerType(),
-    neg_count=IntegerType(), neg_ratio=FloatType(), avg_neg_prob=FloatType(),
-    unique_authors=IntegerType(), influencer_neg=FloatType(),
+    brand=_TEXT, window_start=_TIME, window_end=_TIME, volume=_LONG,
+    neg_count=_LONG, neg_ratio=FloatType(), avg_neg_prob=FloatType(),
+    unique_authors=_LONG, influencer_neg=FloatType(),
 )
 
 ALERT_TABLE = _struct(
     id=_LONG, brand=_TEXT, triggered_at=_TIME, window_start=_TIME, window_end=_TIME,
-    z_score=FloatType(), neg_ratio=FloatType(), volume=IntegerType(), severity=_TEXT,
+    z_score=FloatType(), neg_ratio=FloatType(), volume=_LONG, severity=_TEXT,
     sample_text=_TEXT,
 )
 
