@@ -22,6 +22,7 @@ class Brand:
 class Thresholds:
     """Detector settings; also what a brand may override."""
 
+    # The defaults.
     alpha: float = 0.3
     spike_k: float = 3.0
     min_volume: int = 25

@@ -9,6 +9,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,13 +19,15 @@ from tidewatch.operators.messages import decode
 from tidewatch.operators.normalise import with_missing
 from tidewatch.schemas import DUMP
 
-# File kinds and folders of a dump, largest zstd window.
+# File kinds and folders of a dump, largest zstd window, and that of Spark's codec.
 DUMP_KINDS = ("zst", "ndjson", "jsonl", "csv")
 DUMP_FOLDERS = ("submissions", "comments")
 ZSTD_WINDOW = 2**31
+SPARK_WINDOW = 2**27
 
-_READ_BYTES = 1 << 20
-_LINES_PER_BATCH = 5_000
+# The largest header of a frame, and what is read of a file at once.
+_HEADER_BYTES = 18
+_BLOCK_BYTES = 1 << 18
 
 
 def files_below(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
@@ -45,36 +48,52 @@ def _open(path: str):
     return store.open_input_stream(name, compression=None)
 
 
-def _zstd_lines(paths: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _windows(files: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether a file's first frame needs a window beyond that of Spark's codec."""
     import zstandard
 
-    for batch in paths:
-        for path in batch["path"]:
+    for batch in files:
+        wide = []
+        for path in batch["path"].to_pylist():
             with _open(path) as raw:
-                reader = zstandard.ZstdDecompressor(max_window_size=ZSTD_WINDOW).stream_reader(
-                    raw, read_size=_READ_BYTES, read_across_frames=True)
-                text = io.TextIOWrapper(
-                    io.BufferedReader(reader, _READ_BYTES), encoding="utf-8", errors="replace")
-                lines: list[str] = []
-                for line in text:
-                    lines.append(line)
-                    if len(lines) == _LINES_PER_BATCH:
-                        yield pd.DataFrame({"value": lines})
-                        lines = []
-                if lines:
-                    yield pd.DataFrame({"value": lines})
+                head = raw.read(_HEADER_BYTES)
+            wide.append(len(head) > 4 and zstandard.get_frame_parameters(head).window_size > SPARK_WINDOW)
+        yield pa.record_batch({"path": batch["path"], "wide": pa.array(wide, pa.bool_())})
+
+
+def _wide_lines(files: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of files with long windows: whole lines of each unpacked block, the rest carried on."""
+    import zstandard
+
+    for batch in files:
+        for path in batch["path"].to_pylist():
+            unpacking = zstandard.ZstdDecompressor(max_window_size=ZSTD_WINDOW).decompressobj(
+                read_across_frames=True)
+            carried = b""
+            with _open(path) as packed:
+                while block := packed.read(_BLOCK_BYTES):
+                    *whole, carried = (carried + unpacking.decompress(block)).split(b"\n")
+                    yield pa.record_batch({"value": pa.array(whole, pa.binary())})
+            yield pa.record_batch({"value": pa.array([carried] if carried else [], pa.binary())})
 
 
 def zstd_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of zstd files with windows of any size, as column ``value``.
+    """Lines of zstd files with windows of any size, as column ``value``; broken bytes are replaced.
 
-    Spark's own codec stops at windows of 128 MiB. A zstd file cannot be split, so there is
-    one task per file; it streams, and only names and no contents go through the file scan.
+    Spark's own codec reads windows of up to 128 MiB. Only files whose header asks for more go
+    through Python: a task per file, which streams. A zstd file cannot be split.
     """
-    return (
-        spark.read.format("binaryFile").load(paths).select("path")
-        .mapInPandas(_zstd_lines, "value string")
-    )
+    files = spark.read.format("binaryFile").load(paths).select("path")
+    told = files.mapInArrow(_windows, "path string, wide boolean").collect()  # names, no contents
+    usual, wide = ([r["path"] for r in told if r["wide"] == w] for w in (False, True))
+    parts = []
+    if usual:
+        parts.append(spark.read.text(usual).select(F.make_valid_utf8("value").alias("value")))
+    if wide:
+        lines = spark.read.format("binaryFile").load(wide).select("path").mapInArrow(
+            _wide_lines, "value binary")
+        parts.append(lines.select(F.make_valid_utf8(F.col("value").cast("string")).alias("value")))
+    return reduce(DataFrame.union, parts, spark.createDataFrame([], "value string"))
 
 
 def _records(lines: DataFrame, schema: StructType, strict: bool) -> DataFrame:

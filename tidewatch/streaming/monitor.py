@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from tidewatch.config import Detection
@@ -84,7 +85,7 @@ def start_monitor(
         queries.append(query)
 
     start(scored_stream(records, detection, scorer), "scored", path=scored_path)
-    start(rejected_messages(records), "rejected", path=f"{root}/rejected")
+    start(rejected_messages(records), "rejected", path=f"{root}/rejected_messages")
 
     def scored() -> DataFrame:
         table = table_stream(spark, scored_path, SCORED_TABLE)
@@ -106,10 +107,29 @@ def start_persister(
         write=lambda batch, number: persist_batch(batch, aggregates_topic, root, number))
 
 
-def progress_counts(query: StreamingQuery) -> dict[str, int]:
-    """Rows read so far by a query's recent micro-batches, and how many were too late."""
-    progress = query.recentProgress
-    return {
-        "input": sum(p["numInputRows"] for p in progress),
-        "late": sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"]),
-    }
+class ProgressCounts(StreamingQueryListener):
+    """Rows read so far by every query of a session, and how many were too late, by query id.
+
+    Add it to ``spark.streams`` before a query starts: every micro-batch is counted, also those
+    that the query itself no longer remembers.
+    """
+
+    def __init__(self) -> None:
+        self.input: Counter[str] = Counter()
+        self.late: Counter[str] = Counter()
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.discard(str(event.id))
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.input[str(progress.id)] += progress.numInputRows
+        self.late[str(progress.id)] += sum(
+            o.numRowsDroppedByWatermark for o in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.id))
