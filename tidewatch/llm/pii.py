@@ -5,7 +5,8 @@ the seeds: the two words before a seed are a context, and contexts that mostly l
 identifiers discover others that no fixed pattern covers. Identifiers and contexts form a graph.
 A context's confidence is the summed score of the identifiers it led to, over all places of the
 corpus where it stands; an identifier's score is 1 for seeds, else the mean confidence of its
-contexts. Both are computed in turns, ``ROUNDS`` times; candidates in contexts of confidence
+contexts. A context that could not reach ``CONFIDENT`` if all it led to were known identifiers
+has confidence 0. Both are computed in turns, ``ROUNDS`` times; candidates in contexts of confidence
 ``CONFIDENT`` or more become spans of kind ``id``.
 
 Positions count code points, ends are exclusive. Edge cases: null, empty and blank texts have no
@@ -142,10 +143,20 @@ def confident(docs: DataFrame, finds: DataFrame, rounds: int = ROUNDS, support:
     # Repeated copies of a find are combined before anything is joined.
     graph = (edges("base", True).union(edges("others", False)).groupBy("context", "value")
              .agg(F.count("*").alias("n"), F.max("seed").alias("seed")))
-    heard = graph.groupBy("context").agg(F.count("*").alias("values")).where(F.col("values") >= support)
-    wanted = stage_table(heard.select("context"), "pii-contexts")
-    totals = stage_table(context_counts(docs, small(wanted)), "pii-totals")
-    known = stage_table(graph.join(totals, "context"), "pii-graph")
+    heard = stage_table(graph.groupBy("context").agg(
+        F.count("*").alias("values"), F.sum("n").alias("led")).where(F.col("values") >= support), "pii-heard")
+    # Most contexts are common words. Their places in the few texts that hold identifiers tell
+    # already that they cannot be confident; only the rest is counted in all texts.
+    some = docs.where(docs["text"].rlike("[0-9]{4}|@"))
+    there = context_counts(some, small(heard).select("context"))
+    open_ = heard.join(there, "context", "left").where(
+        F.col("led") >= least * F.coalesce("places", F.lit(0)))
+    wanted = stage_table(open_.select("context", "led"), "pii-contexts")
+    totals = stage_table(
+        context_counts(docs, small(wanted).select("context")).join(wanted, "context")
+        .where(F.col("led") >= least * F.col("places")).select("context", "places"), "pii-totals")
+    all_of = graph.groupBy("value").agg(F.sum("n").alias("total"))
+    known = stage_table(graph.join(totals, "context").join(all_of, "value"), "pii-graph")
     score = F.when(F.col("seed"), 1.0).otherwise(0.0)
     scored = known.withColumn("score", score)
     for turn in range(rounds):
@@ -155,7 +166,7 @@ def confident(docs: DataFrame, finds: DataFrame, rounds: int = ROUNDS, support:
         if turn == rounds - 1:
             return trust.where(F.col("confidence") >= least)
         means = known.join(trust, "context").groupBy("value").agg(
-            (F.sum(F.col("n") * F.col("confidence")) / F.sum("n")).alias("mean"))
+            (F.sum(F.col("n") * F.col("confidence")) / F.max("total")).alias("mean"))
         scored = stage_table(known.join(means, "value").select(
             "context", "n", "places",
             F.when(F.col("seed"), 1.0).otherwise(F.col("mean")).alias("score")), "pii-scores")
