@@ -11,8 +11,10 @@ from tidewatch.functions.numbers import epoch_millis, epoch_seconds, reach_weigh
 from tidewatch.functions.text import SAMPLE_LIMIT
 from tidewatch.operators.messages import brand_key
 
-# Probabilities are added up as whole billionths, so that a sum does not depend on row order.
+# Probabilities and reach are added up as whole billionths, so that a sum does not depend on row
+# order, in decimals, so that no number of messages is too large for it.
 _PARTS = 1e9
+_SUM = "decimal(38,0)"
 _SAMPLE = "struct<order:double,at:bigint,id:string,text:string>"
 
 
@@ -22,8 +24,8 @@ def _measures(time: str, text: str) -> dict[str, Column]:
     return {
         "volume": F.lit(1),
         "neg": F.coalesce((F.col("label") == "neg").cast("int"), F.lit(0)),
-        "prob": F.rint(prob * _PARTS).cast("bigint"),
-        "reach": prob * reach_weight("score"),
+        "prob": F.rint(prob * _PARTS).cast(_SUM),
+        "reach": F.rint(prob * reach_weight("score") * _PARTS).cast(_SUM),
         "sample": F.when(prob > 0, F.struct(
             (-prob).alias("order"), epoch_millis(time).alias("at"),
             F.col("id").cast("string").alias("id"),
@@ -115,8 +117,8 @@ def _one_pass(scored: DataFrame, window: int, slide: int, time: str, text: str)
     samples are already combined per brand and window.
     """
     measures = _measures(time, text)
-    nothing = {"volume": F.lit(0), "neg": F.lit(0), "prob": F.lit(0).cast("bigint"),
-               "reach": F.lit(0.0), "sample": F.lit(None).cast(_SAMPLE)}
+    nothing = {"volume": F.lit(0), "neg": F.lit(0), "prob": F.lit(0).cast(_SUM),
+               "reach": F.lit(0).cast(_SUM), "sample": F.lit(None).cast(_SAMPLE)}
 
     def facet(author: Column, values: dict[str, Column]) -> Column:
         return F.struct(author.alias("author"), *[c.alias(n) for n, c in values.items()])
@@ -143,7 +145,7 @@ def _finish(totals: DataFrame) -> DataFrame:
         round_even("neg / volume").alias("neg_ratio"),
         round_even(f"prob / {_PARTS}D / volume").alias("avg_neg_prob"),
         F.col("authors").alias("unique_authors"),
-        round_even("reach").alias("influencer_neg"),
+        round_even(f"reach / {_PARTS}D").alias("influencer_neg"),
         F.col("sample.text").alias("sample_text"),
     )
 
