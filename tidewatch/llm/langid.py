@@ -31,7 +31,12 @@ GRAMS = 3
 ALL_SPLITS = 6
 #: Evidence of n-grams that overlap, as a share of independent ones.
 INDEPENDENT = 0.3
-MARGIN = 0.5
+#: An answer is ambiguous if the second best costs less than this more, or less than this share
+#: of what languages cost more on average (texts of two languages).
+MARGIN, MARGIN_SHARE = 0.5, 0.15
+#: Share of what all languages have in common in each one's n-grams: some foreign words in a text
+#: must not outweigh the rest.
+COMMON = 0.2
 UNKNOWN = "und"
 
 
@@ -92,12 +97,12 @@ class Model:
             return UNKNOWN, 0.0, True
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
-        margin = np.clip(counts @ self.weights * INDEPENDENT, -50, 50)
+        margin = counts @ self.weights * INDEPENDENT
         cost = np.logaddexp(0, -self.code * margin) @ self.trust
-        chance = np.exp(cost.min() - cost)
         best = int(np.argmin(cost))
-        near = np.partition(cost, 1)
-        return self.languages[best], float(chance[best] / chance.sum()), bool(near[1] - near[0] < MARGIN)
+        more = np.delete(cost, best) - cost[best]
+        unsure = more.min() < max(MARGIN, MARGIN_SHARE * more.mean())
+        return self.languages[best], float(1 / (1 + np.exp(-more).sum())), bool(unsure)
 
 
 def fit(docs: DataFrame) -> Model:
@@ -128,6 +133,7 @@ def fit(docs: DataFrame) -> Model:
         return Model(languages, np.zeros((len(languages), 0)), np.zeros((BUCKETS, 0)), np.zeros(0))
     # Each language counts alike, however many documents it has.
     share = (counts + 0.1) / (counts + 0.1).sum(axis=1, keepdims=True)
+    share = (1 - COMMON) * share + COMMON * share.mean(axis=0)
     code = codewords(len(languages))
     sides = [np.stack([share[code[:, b] == s].mean(axis=0) for s in (-1, 1)]) for b in range(code.shape[1])]
     weights = np.stack([np.log(hi) - np.log(lo) for lo, hi in sides], axis=1)
