@@ -70,7 +70,8 @@ def test_writers_leave_each_other_alone(spark, tmp_path):
 def test_every_record_ends_in_one_place(spark, tmp_path):
     root = str(tmp_path / "out")
     lines = [json.dumps(aggregate("a", 0.0, 9)), json.dumps(aggregate("a", 0.0, 3)),
-             json.dumps(aggregate("b", 0.0, "abc")), json.dumps(aggregate("c", 0.0, "7")), "not json", "[1]", "null",
+             json.dumps(aggregate("b", 0.0, "abc")), json.dumps(aggregate("c", 0.0, "7")),
+             "not json", "[1]", "null",
              json.dumps(aggregate("d", 0.0, 1, window_start="soon")), json.dumps(aggregate("e", 0.0, 2.0)), '{"brand": "f"}']
     records = spark.createDataFrame([("agg", v) for v in lines], "topic string, value string").coalesce(1)
     tables.persist_batch(records, "agg", root, 0)
