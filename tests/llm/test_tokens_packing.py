@@ -82,7 +82,8 @@ def test_differencing_balances():
         assert max(sums) - min(sums) <= 25
     assert sorted(map(len, packing.difference(np.array([5, 5]), 4))) == [1, 1]
     # The textbook case: two windows of 16 and 14.
-    assert sorted(int(np.array([4, 5, 6, 7, 8])[w].sum()) for w in packing.difference(np.array([4, 5, 6, 7, 8]), 2)) == [14, 16]
+    items = np.array([4, 5, 6, 7, 8])
+    assert sorted(int(items[w].sum()) for w in packing.difference(items, 2)) == [14, 16]
 
 
 def test_windows_rise_beyond_the_capacity():

@@ -1,7 +1,8 @@
 """Toxicity by weak supervision: many weak voters, a generative model of them, a linear classifier.
 
 Voters look for listed insults, for words and beginnings of words that a bounded sample of labelled
-rows shows to go with toxic texts (beginnings find forms not seen there), for an insult near a second person, for shouting, and for the absence of all of these.
+rows shows to go with toxic texts (beginnings find forms not seen there), for an insult near a second
+person, for shouting, and for the absence of all of these.
 Each votes toxic (1), clean (-1) or not at all (0). A generative model (a class, and for each voter
 the chances of its votes given the class) is fitted by expectation maximisation to the counts of
 all vote patterns in all documents; it starts from the labelled rows. Voters that agree beyond what
