@@ -87,7 +87,7 @@ def pieces(docs: DataFrame, path: str | None = None, end_id: int = END_ID, capac
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, row = np.array([end_id], "<u2").tobytes(), 0
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, size=tokens.SLICE):
                 names: dict[str, list] = {k: [] for k in (
                     "doc_id", "start", "length", "doc_tokens", "ids", "salt")}
                 found = tokens.encoder(path).encode(byte_texts(part["text"]))

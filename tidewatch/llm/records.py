@@ -78,7 +78,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, size=tokens.SLICE):
                 found = tokens.encoder(path).encode(byte_texts(part["text"]))
                 yield pa.record_batch({"frame": pa.array(
                     [frame(i, ids + end) for i, ids in zip(

@@ -1,13 +1,14 @@
 """Token ids of whole texts, by a public tokenizer, with a cache of words per Python worker.
 
-The tokenizer drops white space between words and never joins across it, so a text's ids are
-those of its words in order. Words repeat, and a worker keeps their ids while it lives; the
-cache is emptied beyond ``CACHED`` words. A Latin word followed by plain signs is looked up as
-word and signs, since the tokenizer splits there. Tests compare with encoding whole texts.
+The tokenizer drops white space between words, never joins across it, lowers case, and splits
+where signs follow a letter. So a text's ids are those of its words in order, lowered and set
+apart from signs; words repeat, and a worker keeps their ids while it lives. The cache is emptied
+beyond ``CACHED`` words. Tests compare with encoding whole texts.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Iterable
@@ -16,8 +17,12 @@ import numpy as np
 
 CACHED = 1_000_000
 JOINED = 256
+#: Bytes of text encoded at once: its words are held as objects meanwhile.
+SLICE = 2 << 20
 _SPACE = bytes(0x20 if c in (0x09, 0x0A, 0x0D) else c for c in range(256))
-_WORD = re.compile(rb"([A-Za-z\x80-\xff]+)([.,!?;:#$%&*|]*)")
+_PLAIN = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in _SPACE)
+_SIGNS = re.compile(rb"(?<=[a-z])(?=[.,!?;:#$%&*|])")
+_SPECIAL = b"<|"
 
 
 def default_path() -> str:
@@ -36,65 +41,61 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this tokenizer need more than 16 bits")
-        self.chunks: dict[bytes, bytes] = {b"": b""}
-        self.words: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u2").tobytes() for e in found]
 
-    def _learn_words(self, words: list[bytes]) -> None:
+    def _words(self, words: list[bytes]) -> list[bytes]:
         """Words of letters only: encoded many at a time, told apart by the word numbers."""
-        for i in range(0, len(words), JOINED):
-            part = words[i:i + JOINED]
-            found = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
-            ids, number = np.array(found.ids, "<u2"), np.array(found.word_ids, np.int64)
-            if len(number) and number[-1] == len(part) - 1 and None not in found.word_ids:
-                ends = np.searchsorted(number, np.arange(len(part)), side="right")
-                pieces = [x.tobytes() for x in np.split(ids, ends[:-1])]
+        out: list[bytes] = []
+        parts = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        texts = [b" ".join(p).decode() for p in parts]
+        for part, found in zip(
+                parts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+            number = found.word_ids
+            if number and None not in number and number[-1] == len(part) - 1:
+                ids = np.array(found.ids, "<u2").tobytes()
+                ends = (2 * np.searchsorted(np.array(number), np.arange(len(part)), side="right")).tolist()
+                out += [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
             else:
-                pieces = self._plain([w.decode() for w in part])
-            self.words.update(zip(part, pieces, strict=True))
-
-    def _learn(self, chunks: Iterable[bytes]) -> None:
-        if len(self.chunks) > CACHED:
-            self.chunks = {b"": b""}
-        if len(self.words) > CACHED:
-            self.words = {}
-        split, whole, new = [], [], set()
+                out += self._plain([w.decode() for w in part])
+        return out
+
+    def _learn(self, chunks: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Ids of the given chunks, which are kept from now on."""
+        if len(self.known) > CACHED:
+            self.known = {b"": b""}
+        words, others = [], []
         for chunk in chunks:
-            match = _WORD.fullmatch(chunk)
-            word = match[1].lower() if match else b""  # of ASCII letters only
             # Letters beyond are left alone: some are decomposed, or turn into signs in lower case.
-            if match and (word.isascii() or (s := word.decode()).lower().isalpha() and max(s) < "ɐ"):
-                word = word if word.isascii() else match[1]
-                split.append((chunk, word, match[2]))
-                if word not in self.words:
-                    new.add(word)
-                if match[2] and match[2] not in self.words:
-                    whole.append(match[2])
-            else:
-                whole.append(chunk)
-        self._learn_words(list(new))
-        ids = dict(zip(whole, self._plain([w.decode("utf-8", "replace") for w in whole]), strict=True))
-        for chunk, word, signs in split:
-            if signs and signs not in self.words:
-                self.words[signs] = ids[signs]
-            self.chunks[chunk] = self.words[word] + (self.words[signs] if signs else b"")
-        self.chunks.update(ids)
+            letters = chunk.isalpha() or (
+                not chunk.isascii() and (s := chunk.decode()).lower().isalpha() and max(s) < "ɐ")
+            (words if letters else others).append(chunk)
+        out = dict(zip(words, self._words(words), strict=True))
+        out.update(zip(others, self._plain([w.decode() for w in others]), strict=True))
+        self.known.update(out)
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each UTF-8 text as bytes of 16-bit integers."""
-        cut = [t.translate(_SPACE).split(b" ") for t in texts]
-        known = self.chunks
-        missing = {c for chunks in cut for c in chunks if c not in known}
-        if missing:
-            kept = self.chunks
-            self._learn(missing)
-            if self.chunks is not kept:  # emptied: what this call needs is learnt again
-                self._learn({c for chunks in cut for c in chunks if c not in self.chunks})
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in cut]
+        collects = gc.isenabled()
+        gc.disable()  # else the collector walks over the growing cache again and again
+        try:
+            cut = [(t.translate(_SPACE) if _SPECIAL in t else _SIGNS.sub(
+                b" ", t.translate(_PLAIN))).split(b" ") for t in texts]
+            found = [list(map(self.known.get, chunks)) for chunks in cut]
+            open_ = [i for i, ids in enumerate(found) if None in ids]
+            missing = {c for i in open_ for c, ids in zip(cut[i], found[i], strict=True) if ids is None}
+            new = self._learn(missing) if missing else {}
+            for i in open_:
+                found[i] = [new[c] if ids is None else ids
+                            for c, ids in zip(cut[i], found[i], strict=True)]
+            return [b"".join(ids) for ids in found]
+        finally:
+            if collects:
+                gc.enable()
 
 
 _ENCODERS: dict[str, Encoder] = {}
