@@ -42,6 +42,17 @@ def test_slots_must_be_consistent(spark, frame):
     assert set(got) == {(0, 0)}
 
 
+def test_verbatim_items_of_names_are_found(spark, frame):
+    known = ["The capital cities are Paris, London, Berlin, Madrid, Rome, Vienna",
+             "Which of Newton, Einstein, Curie, Darwin, Galilei first wrote about the tides of our moon",
+             "nenne alle Dinge wie Tisch Stuhl Lampe Schrank Regal Teppich"]
+    docs = frame([f"Some words before. {k}. Some words behind" for k in known] + [
+        "The capital cities are many and none of them is named", "Paris, London, Berlin, Madrid, Rome, Vienna"])
+    got = held(decontam.contaminated(docs, items(spark, *known)))
+    assert set(got) == {(0, 0), (1, 1), (2, 2)}
+    assert all(r["coverage"] == 1 and not r["reparameterised"] for r in got.values())
+
+
 def brute_windows(text):
     words = re.findall(r"[^\W\d_]+", (text or "").lower())
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
