@@ -53,6 +53,16 @@ def test_verbatim_items_of_names_are_found(spark, frame):
     assert all(r["coverage"] == 1 and not r["reparameterised"] for r in got.values())
 
 
+def test_verbatim_items_are_found_in_any_case_and_without_signs(spark, frame):
+    known = [ITEM, "The tank holds 40 l and a car needs 7 l per 100 km. How far, in km, does Eve get? She starts at 5. "
+             "Days later Bob drives 30 miles. Then 12 kg of coal are loaded in 3 hours"]
+    forms = [str.title, str.upper, str.lower, lambda t: re.sub("[.,]", "", t), lambda t: re.sub("[.,?]", "", t.title())]
+    docs = frame([f"Plain words here {form(k)} and plain words there" for k in known for form in forms])
+    got = held(decontam.contaminated(docs, items(spark, *known)))
+    assert set(got) == {(len(forms) * i + f, i) for i in range(len(known)) for f in range(len(forms))}
+    assert all(r["coverage"] == 1 for r in got.values())
+
+
 def brute_windows(text):
     words = re.findall(r"[^\W\d_]+", (text or "").lower())
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
