@@ -63,6 +63,18 @@ def test_verbatim_items_are_found_in_any_case_and_without_signs(spark, frame):
     assert all(r["coverage"] == 1 for r in got.values())
 
 
+def test_items_of_numbers_are_found_in_full(spark, frame):
+    known = ["Add 12, 7, 3, 5 and 2", "Compute 12 + 7 * 3 - 5 / 2 =", "Add 12, 7, 3, 5 and 4", "1 2 3 4"]
+    docs = frame([f"Now: {known[0]}. And on", f"so compute 12 + 7 * 3 - 5 / 2 = what? {known[1]}",
+                  "Add 12, 7, 3, 5", "add 9, 7, 3, 5 and 2", "1 2 3 4 5 6", None, known[0].upper()])
+    got = held(decontam.contaminated(docs, items(spark, *known, ITEM)))
+    assert set(got) == {(0, 0), (1, 1), (6, 0)}
+    assert all((r["matched"], r["windows"], r["coverage"], r["reparameterised"]) == (1, 1, 1.0, False)
+               for r in got.values())
+    kept = decontam.drop_contaminated(docs, items(spark, *known)).collect()
+    assert {r["doc_id"] for r in kept} == {2, 3, 4, 5}
+
+
 def brute_windows(text):
     words = re.findall(r"[^\W\d_]+", (text or "").lower())
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
