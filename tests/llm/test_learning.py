@@ -192,3 +192,23 @@ def test_nearest_matches_brute_force(spark):
             assert [v for _, v, _ in mine] == want
     assert found / 700 > 0.98
     assert hilbert.nearest(df.limit(0), F.col("id") % 10 == 0).count() == 0
+
+
+def test_window_grows_with_the_table(spark, monkeypatch):
+    assert hilbert.window_for(100) == hilbert.window_for(51_282) == hilbert.WINDOW
+    for rows in (500_000, 100_000_000):
+        assert hilbert.CURVES * 2 * hilbert.window_for(rows) >= hilbert.SHARE * rows
+    # The rule at windows far below the number of rows. So small a table needs a larger share than
+    # those of 100,000 rows and more, for which ``WINDOW`` is not enough.
+    monkeypatch.setattr(hilbert, "WINDOW", 1)
+    monkeypatch.setattr(hilbert, "SHARE", 0.7)
+    n = 12_000
+    assert hilbert.window_for(n) < n / 130
+    x = np.random.default_rng(4).standard_normal((n, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in hilbert.nearest(df, F.col("id") % 200 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    found = [len(got[q] & set(np.argsort(((x - x[q]) ** 2).sum(1))[1:11].tolist())) for q in range(0, n, 200)]
+    assert np.mean(found) / 10 >= 0.9

@@ -2,7 +2,7 @@
 
 Every curve projects the vectors on a few random directions, shifts them and puts them in Hilbert
 order. Spark deals the rows of all curves by range of (curve, key); within its partition a query
-looks at the ``WINDOW`` rows on either side. What the curves find is merged and ranked by the
+looks at a window of rows on either side. What the curves find is merged and ranked by the
 exact distance of the original vectors.
 
 Equal vectors are searched as one and expanded again at the end, so that one very common vector
@@ -10,9 +10,9 @@ costs no more than a rare one, and ties go to the smallest ids exactly. Ranges o
 taken from a sample of at most ``SAMPLE`` vectors (those with the smallest hash); values beyond
 are put at the edge. A window that would cross the edge of a partition is moved inwards.
 
-Recall on 64 random directions (no structure to use, the hardest case) is 0.9 or more up to some
-50,000 vectors with these parameters; the README has figures. More curves or wider windows give
-more for larger sets.
+On 64 random directions (no structure to use, the hardest case) recall depends on the share of the
+rows that a query looks at over all curves, so the window grows with the table: it is ``WINDOW`` or
+more, and all windows of a query make ``SHARE`` of the rows. The README has figures.
 
 Edge cases: rows without an id, and vectors null, empty, zero or with null or non-finite
 components take no part; only vectors of equal length are compared; repeated rows count once;
@@ -21,6 +21,7 @@ a query with fewer candidates gets all of them; an empty table gives an empty re
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,7 @@ CURVES = 48
 AXES = 8
 BITS = 7
 WINDOW = 768
+SHARE = 0.45
 SAMPLE = 4096
 ROWS = 16_384
 NEAREST = 10
@@ -98,6 +100,11 @@ def usable(table: DataFrame) -> DataFrame:
                        & F.exists(v, lambda x: x != 0))
 
 
+def window_for(rows: int, curves: int = CURVES) -> int:
+    """Rows to look at on either side, for so many distinct vectors of one length."""
+    return max(WINDOW, math.ceil(SHARE * rows / (2 * curves)))
+
+
 def fit(vectors: DataFrame, curves: int) -> dict[int, Curves]:
     """Curves per length of vectors, from at most ``SAMPLE`` vectors of each length."""
     by = Window.partitionBy("n").orderBy(F.xxhash64("v"), "rep")
@@ -118,7 +125,7 @@ def _windows(keyed: DataFrame, window: int, best: int) -> DataFrame:
             yield np.full(len(order), rep[at]), rep[near][order], score[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]  # a partition holds about ``ROWS`` rows
+        held = [b for b in batches if b.num_rows]  # a partition holds about ``ROWS`` rows, or 16 windows
         if not held:
             return
         table = pa.Table.from_batches(held).combine_chunks()
@@ -136,15 +143,18 @@ def _windows(keyed: DataFrame, window: int, best: int) -> DataFrame:
 
 
 def nearest(table: DataFrame, asks: Column, vec_id: str = "vec_id", vector: str = "embedding",
-            k: int = NEAREST, curves: int = CURVES, window: int = WINDOW) -> DataFrame:
+            k: int = NEAREST, curves: int = CURVES, window: int | None = None) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest rows of every query.
 
-    ``asks`` is a condition on the column ``id``, true for the rows that are queries.
+    ``asks`` is a condition on the column ``id``, true for the rows that are queries. Without a
+    ``window`` it is that of ``window_for`` for the most frequent length of vectors.
     """
     rows = usable(table.select(table[vec_id].cast("bigint").alias("id"), table[vector].alias("v")))
     vectors = stage_table(
         rows.groupBy("v").agg(F.min("id").alias("rep"), F.max(asks).alias("asks"))
         .withColumn("n", F.size("v")), "hilbert-vectors")
+    sizes = vectors.groupBy("n").count().agg(F.max("count"), F.sum("count")).first()
+    window = window or window_for(sizes[0] or 0, curves)
     models = fit(vectors, curves)
     spark = table.sparkSession
     shared = spark.sparkContext.broadcast(models)
@@ -164,7 +174,8 @@ def nearest(table: DataFrame, asks: Column, vec_id: str = "vec_id", vector: str
     kind = vectors.schema["v"].dataType.simpleString()
     keyed = vectors.mapInArrow(
         key, f"n int, curve int, key bigint, rep bigint, asks boolean, v {kind}")
-    parts = max(1, -(-vectors.count() * curves // ROWS))
+    # Windows that reach beyond a partition are moved, so partitions hold many windows.
+    parts = max(1, -(-(sizes[1] or 0) * curves // max(ROWS, 16 * window)))
     order = ["n", "curve", "key", "rep"]
     dealt = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     # The query's own vector, k others, and one more for the row that is the query itself.
