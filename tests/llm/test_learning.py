@@ -212,3 +212,19 @@ def test_window_grows_with_the_table(spark, monkeypatch):
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     found = [len(got[q] & set(np.argsort(((x - x[q]) ** 2).sum(1))[1:11].tolist())) for q in range(0, n, 200)]
     assert np.mean(found) / 10 >= 0.9
+
+
+def test_range_sample_orders_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(hilbert, "SAMPLE", 50)
+    x = np.random.default_rng(6).standard_normal((3000, 4)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 4) for i, v in enumerate(x)], "rep long, v array<float>, n int")
+    seen = []
+    monkeypatch.setattr(hilbert, "Curves", lambda sample, curves: seen.append(sample))
+    ranked = []
+    where = type(df).withColumn
+    monkeypatch.setattr(type(df), "withColumn", lambda self, name, c: (
+        ranked.append(self.count()) if name == "k" else None, where(self, name, c))[1])
+    hilbert.fit(df, 1)
+    want = df.orderBy(F.xxhash64("v"), "rep").limit(50).collect()
+    assert sorted(map(tuple, seen[0].tolist())) == sorted(tuple(r["v"]) for r in want)
+    assert 50 <= ranked[0] < 100

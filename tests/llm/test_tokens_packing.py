@@ -123,3 +123,8 @@ def test_packed_pieces_round_trip(frame):
     for r in packing.sequences(packed, pad_id=0).collect():
         assert len(r["ids"]) == 4 * (r["length"] if r["length"] & (r["length"] - 1) == 0 else 2048)
     assert packing.pack(frame([])).count() == 0
+
+
+def test_null_texts_count_for_the_groups(frame):
+    packed = packing.pack(frame([(i, None) for i in range(4000)]), group_bytes=1000).collect()
+    assert len(packed) == 4000 and len({r["sequence_id"] >> 24 for r in packed}) == 4

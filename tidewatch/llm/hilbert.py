@@ -37,6 +37,7 @@ BITS = 7
 WINDOW = 768
 SHARE = 0.45
 SAMPLE = 4096
+SLOT_BITS = 14
 ROWS = 16_384
 NEAREST = 10
 
@@ -107,8 +108,16 @@ def window_for(rows: int, curves: int = CURVES) -> int:
 
 def fit(vectors: DataFrame, curves: int) -> dict[int, Curves]:
     """Curves per length of vectors, from at most ``SAMPLE`` vectors of each length."""
-    by = Window.partitionBy("n").orderBy(F.xxhash64("v"), "rep")
-    sample = vectors.select("n", "v", "rep").withColumn("k", F.row_number().over(by)).where(
+    hashed = vectors.select("n", "v", "rep", F.xxhash64("v").alias("h")).withColumn(
+        "slot", F.shiftright("h", 64 - SLOT_BITS))
+    # Counts by the first bits of the hash tell up to which slot the sample reaches, so that the
+    # window below orders little more than the sample.
+    counts = hashed.groupBy("n", "slot").count()
+    upto = F.sum("count").over(Window.partitionBy("n").orderBy("slot")) - F.col("count")
+    slots = counts.withColumn("before", upto).where(F.col("before") < SAMPLE).select("n", "slot")
+    by = Window.partitionBy("n").orderBy("h", "rep")
+    sample = hashed.join(F.broadcast(slots), ["n", "slot"], "left_semi").withColumn(
+        "k", F.row_number().over(by)).where(
         F.col("k") <= SAMPLE).groupBy("n").agg(F.flatten(F.collect_list("v")).alias("v"))
     return {r["n"]: Curves(np.array(r["v"], np.float64).reshape(-1, r["n"]), curves)
             for r in sample.orderBy("n").collect()}

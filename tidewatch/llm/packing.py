@@ -114,7 +114,7 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = END_ID, capacit
          piece: int = PIECE, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, ids (little-endian 32-bit integers),
     sequence_id and offset (place in the sequence, without gaps)."""
-    total = docs.agg(F.sum(F.octet_length(docs["text"]) + 1)).first()[0] or 0
+    total = docs.agg(F.sum(F.coalesce(F.octet_length(docs["text"]), F.lit(0)) + 1)).first()[0] or 0
     groups = max(1, -(-total // group_bytes))
     dealt = pieces(docs, path, end_id, capacity, piece).withColumn(
         "group", F.pmod(F.xxhash64("doc_id", "start", "salt"), F.lit(groups)))
