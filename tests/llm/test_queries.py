@@ -5,6 +5,7 @@ import os
 import pytest
 
 import corpus_pipeline
+from compare import connect, difference
 from tidewatch.llm import decontam, pii, quality, queries, simhash
 from tidewatch.llm.common import drop_stage_tables, read, stage_table
 
@@ -23,7 +24,7 @@ COLUMNS = {
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality", "near_duplicates", "decontamination", "personal_data", "packing"]
 
@@ -34,12 +35,18 @@ def test_query(spark, name):
     number = int(name[2:].split("_")[0])
     assert df.columns == COLUMNS[number].split(" ")
     rows = df.count()
-    if number in (2, 6, 7, 8, 9, 10):
+    if number in (2, 6, 7, 8, 9, 10, 13):
         assert rows == read(spark, TABLES, "documents").count()
     else:
         assert rows > 0
 
 
+@pytest.mark.parametrize("name", list(queries.oracle_sql()))
+def test_query_equals_its_sql(spark, name):
+    connection = connect(TABLES)
+    assert not difference(queries.queries()[name](spark, TABLES), connection, queries.oracle_sql()[name])
+
+
 def test_pipeline_matches_the_operators_by_hand(spark):
     """Every stage against its operator's plain result on the stage's own input."""
     docs = read(spark, TABLES, "documents")

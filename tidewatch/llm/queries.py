@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
+    audit,
     chat,
     decontam,
     hilbert,
     langid,
+    lines,
+    oracle,
     packing,
     pii,
     quality,
+    ranked,
     records,
     simhash,
     toxicity,
@@ -75,6 +79,19 @@ def op10_simhash(spark: SparkSession, path: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, path, "documents"))
 
 
+def op11_audit(spark: SparkSession, path: str) -> DataFrame:
+    return audit.audit(read(spark, path, "documents"), read(spark, path, "labels"))
+
+
+def op12_ranked(spark: SparkSession, path: str) -> DataFrame:
+    return ranked.search(read(spark, path, "documents"), read(spark, path, "benchmark"))
+
+
+def op13_lines(spark: SparkSession, path: str) -> DataFrame:
+    kept = lines.deduplicated(read(spark, path, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -87,8 +104,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_language": op9_language,
         "op10_simhash": op10_simhash,
+        "op11_audit": op11_audit,
+        "op12_ranked": op12_ranked,
+        "op13_lines": op13_lines,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
