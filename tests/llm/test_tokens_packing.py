@@ -55,6 +55,29 @@ def test_records_round_trip(spark, frame):
     assert [r["doc_id"] for r in records.shuffled(spark, folder, 4).collect()] != [r["doc_id"] for r in mixed]
 
 
+def test_equal_rows_lie_in_several_shards(spark, frame):
+    folder = shared_dir(spark, "test-equal")
+    records.write(frame([(None, None)] * 900 + [(4, "the same text")] * 900), folder, shard_bytes=2000)
+    got = records.index(spark, folder).collect()
+    assert len(got) == 1800
+    by = [[r for r in got if r["shard"] == s] for s in {r["shard"] for r in got}]
+    assert len(by) > 4 and max(map(len, by)) < 700
+    assert [r["start"] for r in sorted(got, key=lambda r: r["start"])][:901] == list(range(901))
+
+
+def test_another_tokenizer_encodes_whole_texts(tmp_path):
+    import json
+
+    described = json.loads(tokens.Encoder(tokens.default_path()).tokenizer.to_str())
+    described["normalizer"] = None
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(described))
+    other = tokens.Encoder(str(path))
+    texts = ["One two, THREE", "", "two  spaces"]
+    assert not other.by_word
+    assert other.encode([t.encode() for t in texts]) == [plain(t, str(path)).astype("<u2").tobytes() for t in texts]
+
+
 def test_damage_is_seen():
     data = records.frame(7, np.arange(9, dtype="<u2").tobytes()) + b"\n"
     doc_id, ids, end = records.unframe(data, 0)

@@ -13,8 +13,8 @@ task leaves no partial shard, and any file system that Spark reaches will do. Th
 Parquet table beside the shards, made by reading them back.
 
 Edge cases: null and empty texts hold the end id alone; null ids come first; rows of equal id are
-ordered by a hash of the text and the text, repeated rows are all kept; an empty table gives no
-records. A damaged record raises ``ValueError``.
+ordered by a hash of the text and the text, repeated rows are all kept and may lie in several
+shards; an empty table gives no records. A damaged record raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -69,11 +69,12 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
     path = path or tokens.default_path()
     plain = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"),
                         F.coalesce(docs["text"], F.lit("")).alias("text"))
-    total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = plain.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     # Texts are dealt out, not ids: dealing by range looks at its input twice.
+    # The salt parts equal rows, of which there may be more than a shard can hold.
     keys = ["doc_id", F.xxhash64("text")]
-    ordered = plain.repartitionByRange(max(1, -(-total // shard_bytes)), *keys).sortWithinPartitions(
-        *keys, "text")
+    ordered = plain.withColumn("salt", F.monotonically_increasing_id()).repartitionByRange(
+        max(1, -(-total // shard_bytes)), *keys, "salt").sortWithinPartitions(*keys, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u2").tobytes()
