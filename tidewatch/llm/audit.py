@@ -94,17 +94,18 @@ def masks(docs: DataFrame, part: str = "source") -> DataFrame:
 def codes(docs: DataFrame, labels: DataFrame, part: str = "source") -> DataFrame:
     """part and code of every document; ``E`` compares with all documents of the table."""
     found = stage_table(masks(docs, part), "audit-masks")
-    copied = found.groupBy("digest").agg(
-        F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    flags = labels.where(labels["doc_id"].isNotNull()).groupBy(
+    # Stored before they are joined: Spark splits a hot key only where both sides come straight
+    # from a shuffle.
+    copied = stage_table(found.groupBy("digest").agg(
+        F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "audit-copied")
+    flags = stage_table(labels.where(labels["doc_id"].isNotNull()).groupBy(
         labels["doc_id"].cast("bigint").alias("doc_id")).agg(
         F.max((labels["quality"] == 1).cast("int")).alias("good"),
-        F.max((labels["toxic"] == 1).cast("int")).alias("toxic"))
+        F.max((labels["toxic"] == 1).cast("int")).alias("toxic")), "audit-labels")
 
     def bit(place: int, holds: Column) -> Column:
         return F.when(holds, 1 << place).otherwise(0)
 
-    # Left joins only: Spark may split what a hot digest or id brings together.
     return found.join(copied, "digest", "left").join(flags, "doc_id", "left").select("part", (
         F.col("mask") + bit(4, F.col("doc_id") > F.col("first")) + bit(5, F.col("good") == 1)
         + bit(6, F.col("toxic") == 1)).alias("code"))
