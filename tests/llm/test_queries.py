@@ -20,6 +20,8 @@ COLUMNS = {
     6: "doc_id n_email n_ip n_card n_phone base_sha256 spans n_id",
     7: "doc_id held_out score predicted", 8: "doc_id held_out score predicted",
     9: "doc_id held_out lang_pred score ambiguous", 10: "doc_id fingerprint component_id copies",
+    11: "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+    12: "item_id rank doc_id score", 13: "doc_id n_lines n_dropped kept_sha256",
 }
 
 

@@ -304,8 +304,10 @@ class Store:
         """
         if refs is None:
             refs = stage_table(references(docs, self.shards), "lines-refs")
-        # A document's keys are no more than its own lines.
-        drops = self.dropped(refs).groupBy("row").agg(F.collect_set("key").alias("drops"))
+        # A document's keys are no more than its own lines. Stored, so that Spark can split the
+        # join where one row is repeated many times.
+        drops = stage_table(self.dropped(refs).groupBy("row").agg(
+            F.collect_set("key").alias("drops")), "lines-drops")
         joined = _plain(docs).join(drops, "row", "left").select("doc_id", "text", "drops")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
