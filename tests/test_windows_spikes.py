@@ -4,12 +4,12 @@ import datetime
 import math
 import random
 
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.config import Detection, Thresholds
 from tidewatch.operators import spikes, windows
+from tidewatch.streaming import detector
 
 SCORED = ("id string, brand string, author string, score bigint, label string, neg_prob double, "
           "text string, event_time timestamp")
@@ -93,12 +93,21 @@ def test_both_plans_match_plain_loops(spark, window, slide):
 
 
 def test_messages_shrink_before_the_shuffle(spark):
-    """Each exchange of the aggregation sits on a partial aggregate."""
+    """Measures and authors are combined by hash before they are shuffled; texts are fetched late."""
     for stored in (True, False):
         df = windows.window_aggregates(messages(spark, SIX), 120, 60, stored=stored)
         lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
-        after = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
-        assert after and all("Aggregate" in line for line in after)
+        keys = ("hashpartitioning(brand", "pane", "start", "author")
+        after = [lines[i + 1] for i, line in enumerate(lines)
+                 if "Exchange " + keys[0] in line and "best" not in line and any(k in line for k in keys[1:])]
+        assert len(after) >= 4 and all("HashAggregate" in line for line in after)
+        sorted_ = [line for line in lines if "SortAggregate" in line]
+        assert sorted_ and all("min(struct(id" in line or "min(sample" in line for line in sorted_)
+
+
+def test_windows_too_long_for_a_packed_place(spark):
+    with pytest.raises(ValueError, match="too long"):
+        windows.window_aggregates(messages(spark, SIX), 100 * 86400, 86400)
 
 
 AGGREGATES = ("brand string, window_start timestamp, window_end timestamp, volume bigint, neg_count bigint, "
@@ -176,20 +185,49 @@ def test_per_brand_thresholds(spark):
     assert [r["brand"] for r in spikes.detect_spikes(both, detection).collect()] == ["b"]
 
 
-def test_state_is_carried_over_batches():
-    batch = pa.RecordBatch.from_pydict({
-        "brand": ["a"] * 12 + ["b"] * 12, "neg_count": (CALM * 4)[:24], "volume": [9] * 24,
-        "neg_ratio": [0.5] * 24, "end_ms": list(range(0, 24 * 60000, 60000))})
+def test_stream_state_is_carried_over_batches():
+    windows_ = [(c, 9, 0.5, 60000 * n) for n, c in enumerate((CALM * 4)[:24])]
     limits = Thresholds(0.3, 1.0, 1, 0.1, 60)
-
-    def walked(*parts):
-        return [row for out in spikes.scan(iter(parts), limits, {}) for row in out.to_pylist()]
-
-    whole = walked(batch)
-    assert whole == walked(batch.slice(0, 5), batch.slice(5, 8), batch.slice(13, 0), batch.slice(13))
-    scores = [r["z_score"] for r in whole]
-    assert scores[:5] == scores[12:17] == [0.0] * 5 and scores[5] != 0 != scores[17]
-    assert any(r["alert"] for r in whole)
+    whole = detector.take_in(detector.Series(), windows_, limits)
+    series_, scores, alerts = detector.Series(), [], []
+    for part in (windows_[:5], windows_[5:13], [], windows_[13:]):
+        series_, z, alert = detector.take_in(series_, part, limits)
+        scores, alerts = scores + z, alerts + alert
+    assert (series_, scores, alerts) == whole and any(alerts)
+    assert scores[:6] == [0.0] * 5 + scores[5:6] and scores[5] != 0
+
+
+@pytest.mark.parametrize("alpha", [0.3, 0.02, 0.95, 1.0, 0.0])
+@pytest.mark.parametrize("block", [1, 7, 25])
+def test_a_brand_cut_into_blocks_scores_as_a_whole(spark, alpha, block):
+    """200 windows in 8 blocks of 25 and in other ways, with gaps in time, against the definition."""
+    rng = random.Random(8)
+    counts = [rng.choice([0, 1, 3, 7, 1000, 10**6]) if n % 50 < 30 else 5 for n in range(200)]
+    limits = Thresholds(alpha, 0.5, 1, 0.0, 300)
+    both = series(spark, counts).unionByName(series(spark, counts[7:90], "other"))
+    got = spikes.score_windows(both.repartition(5), Detection(thresholds=limits, slide_seconds=60), block)
+    for brand, own in (("acme", counts), ("other", counts[7:90])):
+        rows = got.where(F.col("brand") == brand).orderBy("window_end").collect()
+        want, _, flags = None, None, None
+        windows_ = [(c, 100, c / 100, int(60000 * n + 120000)) for n, c in enumerate(own)]
+        _, want, flags = detector.take_in(detector.Series(), windows_, limits)
+        assert [r["z_score"] for r in rows] == pytest.approx(want, rel=1e-6, abs=1e-4)
+        assert [r["alert"] for r in rows] == flags
+
+
+def test_more_windows_than_a_block_has_time_for(spark):
+    counts = [3, 9, 4, 40, 2, 8] * 30
+    dense = Detection(thresholds=LENIENT, slide_seconds=3600)  # windows come 60 times as often
+    rows = spikes.score_windows(series(spark, counts), dense, 4).orderBy("window_end").collect()
+    assert [r["z_score"] for r in rows] == pytest.approx(plain_scores(counts), abs=1e-9)
+
+
+def test_scoring_needs_no_python_per_window(spark):
+    df = spikes.score_windows(series(spark, CALM * 9), Detection(thresholds=LENIENT), 8)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # What Python sees are block totals and candidates for the cooldown.
+    python = [line for line in plan.splitlines() if "InArrow" in line or "Python" in line]
+    assert python and all("carried(" in line or "spaced(" in line for line in python)
 
 
 def test_small_batches_and_many_brands_on_spark(spark):

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewatch.config import Brand, Detection, Thresholds
 from tidewatch.functions.lexicon import VALENCES, Lexicon
+from tidewatch.functions.numbers import epoch_millis
 from tidewatch.functions.text import SAMPLE_LIMIT, clip
 from tidewatch.operators.messages import clean_messages
 from tidewatch.operators.scoring import lexicon_scorer, score_messages
 from tidewatch.operators.spikes import score_windows
 from tidewatch.operators.windows import window_aggregates
-from tidewatch.session import ROCKSDB_PROVIDER, shared_dir, spread
+from tidewatch.session import ROCKSDB_PROVIDER, shared_dir, spread, stored
 
 # The invented prose holds few English words of feeling, so some of its frequent syllables
 # get a valence, a degree or a negating sense: every rule of the scorer is then at work.
@@ -106,6 +111,16 @@ def scored_messages(
     return messages.join(scored_documents(spark, path), "doc_id").drop("doc_id")
 
 
+def prepared_stream(spark: SparkSession, path: str, texts: DataFrame, streams: list[DataFrame]) -> DataFrame:
+    """Streams of events as scored messages, every stream with its own watermark.
+
+    ``texts`` are scored documents that are stored, so that no micro-batch scores them again. Of
+    several streams the slowest decides what is late (Spark's policy ``min``).
+    """
+    own = [events_as_messages(spark, path, s).withWatermark("event_time", DETECTION.lateness) for s in streams]
+    return reduce(DataFrame.unionByName, own).join(texts, "doc_id").drop("doc_id")
+
+
 def aggregates(spark: SparkSession, path: str, stored: bool = False) -> DataFrame:
     """Window aggregates of the scored messages, which are written to a table first if ``stored``."""
     scored = scored_messages(spark, path)
@@ -121,6 +136,34 @@ def scored_windows(spark: SparkSession, path: str, detection: Detection = DETECT
     return score_windows(aggregates(spark, path), detection)
 
 
+# A feed of events: at least so many parts, and so many events in a part on average.
+FEED_PARTS, PART_EVENTS = 4, 1_000_000
+
+
+def feed_parts(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """Events with their time in milliseconds and the ``part`` of the covered time they lie in."""
+    events = table(spark, path, "events").withColumn("ms", epoch_millis("ts"))
+    low, high, count = events.agg(F.min("ms"), F.max("ms"), F.count("*")).first()
+    parts = max(FEED_PARTS, -(-count // PART_EVENTS))
+    part = F.expr(f"CAST((ms - {low or 0}) * {parts} DIV {(high or 0) - (low or 0) + 1} AS INT)")
+    return events.withColumn("part", part), parts
+
+
+def feed(spark: SparkSession, delivered: DataFrame, root: str, parts: Iterable[int]) -> None:
+    """Write parts of a feed (column ``part``) one after the other, each as one file.
+
+    Files are read in the order of their times. A part is bounded, so one task can write it.
+    """
+    for part in parts:
+        delivered.where(F.col("part") == part).drop("part", "ms").coalesce(1).write.parquet(f"{root}/{part:06d}")
+
+
+def feed_stream(spark: SparkSession, layout: StructType, root: str) -> DataFrame:
+    """The feed as a stream: one file per micro-batch."""
+    return spark.readStream.schema(layout).option("maxFilesPerTrigger", 1).option(
+        "recursiveFileLookup", True).parquet(root)
+
+
 def labelled_documents(spark: SparkSession, path: str) -> DataFrame:
     """Documents with a label, as a three-class corpus: 0 toxic, 2 of quality, else 1."""
     labels = table(spark, path, "labels")

@@ -6,7 +6,15 @@ scorer is relational: one row per word, context through ``lag``.
 
 from __future__ import annotations
 
-from tidewatch.catalog.inputs import AS_OF, BRANDS, DETECTION, LEXICON, PER_BRAND
+from tidewatch.catalog.inputs import (
+    AS_OF,
+    BRANDS,
+    DETECTION,
+    FEED_PARTS,
+    LEXICON,
+    PART_EVENTS,
+    PER_BRAND,
+)
 from tidewatch.config import Detection
 
 _SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
@@ -216,6 +224,24 @@ _SERIES = (f"""series AS (
 _CLOSED = f"""closed AS MATERIALIZED (
       SELECT * FROM windows
       WHERE window_end <= (SELECT (epoch_us(max(ts)) // 1000) / 1000.0 FROM events) - {DETECTION.lateness_seconds})"""
+_SPAN = f"""span AS (
+      SELECT min(epoch_us(ts) // 1000) AS low, max(epoch_us(ts) // 1000) AS high,
+             greatest({FEED_PARTS}, (count(*) + {PART_EVENTS - 1}) // {PART_EVENTS}) AS parts
+      FROM events)"""
+
+
+def _part(ms: str) -> str:
+    return f"(({ms} - (SELECT low FROM span)) * (SELECT parts FROM span) // (SELECT high - low + 1 FROM span))"
+
+
+# Rows of the two topics: the second lacks its last part.
+_DELIVERED = (f"brand IN ('view', 'click') OR {_part('epoch_us(event_time) // 1000')} "
+              "< (SELECT parts - 1 FROM span)")
+_LAGGING = f"""lagging AS (
+      SELECT * FROM delivered
+      WHERE window_end * 1000 <= (
+        SELECT min(ms) FROM (SELECT max(epoch_us(event_time) // 1000) AS ms FROM scored WHERE {_DELIVERED}
+                             GROUP BY brand IN ('view', 'click'))) - {DETECTION.lateness_seconds * 1000})"""
 _SIGN = ("CASE severity WHEN 'low' THEN '🟡' WHEN 'medium' THEN '🟠' WHEN 'high' THEN '🔴' "
          "WHEN 'critical' THEN '🚨' ELSE '⚠️' END")
 
@@ -364,6 +390,21 @@ def oracle_sql() -> dict[str, str]:
         "spike_alerts_per_brand": _over_alerts("SELECT * FROM alerts", PER_BRAND),
         "stream_aggregates": _over_windows("SELECT * FROM closed", _CLOSED),
         "stream_alerts": _over_alerts("SELECT * FROM alerts", DETECTION, "closed", _CLOSED),
+        "stream_two_topics": _over_windows(
+            "SELECT * FROM lagging", _SPAN, _aggregate("delivered", _DELIVERED), _LAGGING),
+        "late_rows": f"""WITH {_SPAN}, fed AS (
+              SELECT event_type AS brand, CAST(event_id AS VARCHAR) AS id, epoch_us(ts) // 1000 AS ms,
+                     least({_part('epoch_us(ts) // 1000')} + (event_id % 5 = 0)::INT,
+                           (SELECT parts - 1 FROM span)) AS file
+              FROM events JOIN documents ON doc_id = event_id % (SELECT count(*) FROM documents)),
+            files AS (
+              SELECT file, max(max(ms)) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                           - {DETECTION.lateness_seconds * 1000} AS watermark
+              FROM fed GROUP BY file),
+            starts AS (
+              SELECT fed.*, watermark, CAST((ms // {_SLIDE * 1000} - i) * {_SLIDE} AS DOUBLE) AS window_start
+              FROM fed JOIN files USING (file), range({_DAY // _SLIDE}) steps(i))
+            SELECT brand, id, ms AS at, window_start FROM starts WHERE (window_start + {_DAY}) * 1000 <= watermark""",
         "route_by_type": f"""WITH {_TYPED}
             SELECT type || 's' AS topic, brand AS key, count(*) AS messages FROM typed GROUP BY ALL""",
         "contract_rejects": f"""WITH {_TYPED}

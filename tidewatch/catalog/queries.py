@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -17,6 +17,7 @@ from tidewatch.operators import brands, contracts, messages, normalise, sampling
 from tidewatch.operators.scoring import score_messages
 from tidewatch.plans import corpus, quality, serving
 from tidewatch.session import shared_dir, spread
+from tidewatch.session import stored as keep
 from tidewatch.sinks import tables as stored
 from tidewatch.sinks import topics
 from tidewatch.sources.dumps import DUMP_KINDS, read_dump_folder
@@ -278,31 +279,72 @@ def spike_alerts_per_brand(spark, path):
         _alerts(spark, path, PER_BRAND), "triggered_at", "window_start", "window_end")
 
 
-def _message_stream(spark: SparkSession, path: str) -> DataFrame:
+def _fed(spark: SparkSession, path: str, delivered: DataFrame, parts: int,
+         build: Callable[[list[DataFrame]], DataFrame], topics: list[Column] | None = None,
+         lag: int = 0) -> DataFrame:
+    """Rows of a stream over a feed that arrives part by part, one file per micro-batch.
+
+    The stream is stopped after half of the parts and started again from its checkpoint. With
+    several ``topics`` (conditions on events) each is a stream; the last lacks its ``lag`` last parts.
+    """
+    root = shared_dir(spark, "feed")
     layout = table(spark, path, "events").schema
-    stream = spark.readStream.schema(layout).option("pathGlobFilter", "events.parquet").parquet(path)
-    return inputs.scored_messages(spark, path, stream, DETECTION.lateness)
+    roots = [f"{root}/{n}" for n in range(len(topics or [None]))]
+    half = parts // 2
+    for steps in (range(half), range(half, parts)):
+        for n, folder in enumerate(roots):
+            own = delivered.where(topics[n]) if topics else delivered
+            kept = range(steps.start, min(steps.stop, parts - (lag if n and n == len(roots) - 1 else 0)))
+            inputs.feed(spark, own, folder, kept)
+        stream = build([inputs.feed_stream(spark, layout, folder) for folder in roots])
+        monitor.run(stream, f"{root}/checkpoint", path=f"{root}/rows", drain=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/rows")
 
 
-def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    root = shared_dir(spark, "stream")
-    monitor.run(stream, f"{root}/checkpoint", path=f"{root}/rows", drain=True).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/rows")
+def _scored_feed(spark: SparkSession, path: str) -> Callable[[list[DataFrame]], DataFrame]:
+    texts = keep(inputs.scored_documents(spark, path), "texts")
+    return lambda streams: inputs.prepared_stream(spark, path, texts, streams)
 
 
 @query
 def stream_aggregates(spark, path):
-    closed = monitor.aggregate_stream(_message_stream(spark, path), DETECTION)
-    return windows.as_stream_record(_drained(spark, closed))
+    scored = _scored_feed(spark, path)
+    closed = _fed(spark, path, *inputs.feed_parts(spark, path),
+                  lambda streams: monitor.aggregate_stream(scored(streams), DETECTION))
+    return windows.as_stream_record(closed)
 
 
 @query
 def stream_alerts(spark, path):
-    closed = monitor.aggregate_stream(_message_stream(spark, path), DETECTION)
-    found = _drained(spark, detect_spike_stream(closed, DETECTION))
+    scored = _scored_feed(spark, path)
+    found = _fed(spark, path, *inputs.feed_parts(spark, path), lambda streams: detect_spike_stream(
+        monitor.aggregate_stream(scored(streams), DETECTION), DETECTION))
     return _seconds(found, "triggered_at", "window_start", "window_end")
 
 
+@query
+def late_rows(spark, path):
+    """Every fifth event comes with the part after its own."""
+    scored = _scored_feed(spark, path)
+    events, parts = inputs.feed_parts(spark, path)
+    delay = F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    delivered = events.withColumn("part", F.least(F.col("part") + delay, F.lit(parts - 1)))
+    late = _fed(spark, path, delivered, parts,
+                lambda streams: monitor.late_stream(scored(streams), DETECTION))
+    return _seconds(late, "window_start").select("brand", "id", "at", "window_start")
+
+
+@query
+def stream_two_topics(spark, path):
+    """Two topics with their own watermarks; one lags and holds the windows open."""
+    scored = _scored_feed(spark, path)
+    fast = F.col("event_type").isin("view", "click")
+    closed = _fed(spark, path, *inputs.feed_parts(spark, path),
+                  lambda streams: monitor.aggregate_stream(scored(streams), DETECTION),
+                  topics=[fast, ~fast], lag=1)
+    return windows.as_stream_record(closed)
+
+
 # Sinks and contracts
 
 

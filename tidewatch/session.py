@@ -46,6 +46,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows of ``df``, written to the shared folder and read back: computed once, lineage cut."""
+    folder = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Share a small table out over all cores before work that is heavy on the CPU.
 

@@ -13,11 +13,11 @@ from tidewatch.config import Detection
 from tidewatch.functions.text import MESSAGE_LIMIT
 from tidewatch.operators.messages import clean_messages, sent_on
 from tidewatch.operators.scoring import Scorer, score_messages
-from tidewatch.operators.windows import window_aggregates
 from tidewatch.schemas import SCORED_MESSAGE
 from tidewatch.session import ROCKSDB_PROVIDER
 from tidewatch.sinks.tables import persist_batch, write_aggregates, write_alerts
 from tidewatch.sources.topics import message_stream, rejected_messages, table_stream
+from tidewatch.streaming import windows
 from tidewatch.streaming.detector import detect_spike_stream
 
 # Fixed value: how often a checkpoint is taken.
@@ -40,7 +40,12 @@ def scored_stream(
 
 def aggregate_stream(scored: DataFrame, detection: Detection) -> DataFrame:
     """Each window once, when the watermark passes its end."""
-    return window_aggregates(scored, detection.window_seconds, detection.slide_seconds)
+    return windows.aggregate_stream(scored, detection.window_seconds, detection.slide_seconds)
+
+
+def late_stream(scored: DataFrame, detection: Detection) -> DataFrame:
+    """One row per message and window that the message came too late for."""
+    return windows.late_rows(scored, detection.window_seconds, detection.slide_seconds)
 
 
 def alert_stream(scored: DataFrame, detection: Detection) -> DataFrame:
