@@ -253,3 +253,53 @@ def test_native_operators_run_no_python(spark, frame):
                  chat.digests(chat.assembled(chat.formatted_turns(df)))):
         text = plan._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", text)
+
+
+def test_a_text_with_very_many_finds(spark, frame):
+    """20,000 addresses and as many other candidates in one text, in a bounded time."""
+    import time
+
+    def text(n):
+        return " ".join(f"mail to user{i}@example{i % 7}.org or code A-{i:06d}x now" for i in range(n))
+
+    frame_of = {n: frame([(1, text(n))]) for n in (2000, 20000)}
+    took = {}
+    for n, df in frame_of.items():
+        begin = time.time()
+        row = pii.report(df).first()
+        assert row["n_email"] == n
+        clean = pii.redact(df).first()["text"]
+        assert clean.count("<EMAIL>") == n and "@" not in clean
+        took[n] = time.time() - begin
+    assert took[20000] < 90
+
+
+def test_spans_that_overlap_are_merged_and_contexts_reach_far(spark):
+    rows = [("a", 0, 5), ("b", 3, 9), ("c", 9, 12), ("d", 20, 30), ("e", 22, 25), ("f", 29, 31)] + [
+        (f"g{i}", 40 + 3 * i, 42 + 3 * i) for i in range(600)]
+    df = spark.createDataFrame([(rows,)], "s array<struct<kind:string,start:bigint,end:bigint>>")
+    got = [tuple(r) for r in df.select(pii._merged(F.col("s"))).first()[0]]
+    assert got == [("a", 0, 9), ("c", 9, 12), ("d", 20, 31), *rows[6:]]
+    text = "x" * 2000
+    clean = spark.createDataFrame([(text, rows)], "t string, s array<struct<kind:string,start:bigint,end:bigint>>").select(
+        pii._replaced(F.col("t"), pii._merged(F.col("s")))).first()[0]
+    want, at = "", 0
+    for kind, a, b in got:
+        want, at = want + text[at:a] + f"<{kind.upper()}>", b
+    assert clean == want
+
+
+def test_other_finds_that_overlap_no_base_find(spark):
+    import random
+
+    rng = random.Random(9)
+    form = "array<struct<start:bigint,end:bigint,id:int>>"
+    rows = []
+    for _ in range(30):
+        def some(n):
+            return sorted((a, a + rng.randint(1, 9), i) for i, a in enumerate(rng.sample(range(3000), n)))
+        rows.append((some(rng.choice([1, 5, 300])), some(rng.choice([1, 5, 300]))))
+    df = spark.createDataFrame(rows, f"b {form}, o {form}")
+    for row in df.select("b", "o", pii._clear(F.col("b"), F.col("o")).alias("c")).collect():
+        want = [o for o in row["o"] if not any(b["start"] < o["end"] and o["start"] < b["end"] for b in row["b"])]
+        assert sorted(row["c"]) == sorted(want)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import shared_dir
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 SLICE_BYTES = 8 << 20
 
 
@@ -48,12 +48,14 @@ def drop_stage_tables(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table marked for broadcasting if it holds at most ``rows`` rows, else as it is.
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """The table marked for broadcasting if it holds so many rows and bytes at most, else as it is.
 
-    Both give the same join; beyond the bound Spark shuffles. ``df`` should be a stored table.
+    Both give the same join; beyond the bounds Spark shuffles. ``df`` should be a stored table.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    held = df.limit(rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("size")).agg(
+        F.count("*"), F.sum("size")).first()
+    return F.broadcast(df) if held[0] <= rows and (held[1] or 0) <= size else df
 
 
 def remainder(id_column: Column, divisor: int) -> Column:

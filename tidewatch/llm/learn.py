@@ -17,7 +17,7 @@ TRAIN_ROWS = 12_000
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column,
                     rows: int = TRAIN_ROWS) -> DataFrame:
-    """Texts with a label 0 or 1 (columns ``text``, ``label``), at most ``rows`` labelled ids.
+    """Texts with a label 0 or 1 (columns ``text``, ``label``), at most ``rows`` ids and rows.
 
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id`` and ``label``; ``usable``
     tells of a doc_id whether its label may be learnt from. Null and other labels are left out;
@@ -26,8 +26,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     ids = (labels.where(usable & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
            .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    # At most ``rows`` ids are broadcast.
-    return docs.join(F.broadcast(ids), "doc_id").select("text", "label")
+    # At most ``rows`` ids are broadcast. An id may have many rows: of equal ones one is taken, and
+    # of all those with the smallest hash.
+    own = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("print")).join(
+        F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "print"])
+    return own.orderBy("print", "doc_id").limit(rows).select("text", "label")
 
 
 def fit_in_one_task(examples: DataFrame, fit: Callable[[pa.Table], object]) -> object:

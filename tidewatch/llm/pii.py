@@ -11,8 +11,8 @@ has confidence 0. Both are computed in turns, ``ROUNDS`` times; candidates in co
 
 Positions count code points, ends are exclusive. Edge cases: null, empty and blank texts have no
 spans; rows of equal doc_id and equal text have equal spans; a null doc_id keeps its row; an
-empty table gives an empty result. Nothing here is quadratic in the length of a text but the
-positions of more than some hundred thousand finds in a single one.
+empty table gives an empty result. Work grows in proportion to a text and its finds but for sorting
+them; the context of a find does not reach back over the find of its kind before it.
 """
 
 from __future__ import annotations
@@ -36,13 +36,15 @@ PATTERNS = {
 #: Runs of letters and digits with at least one digit, joined by single signs.
 CANDIDATE = (r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])[A-Za-z0-9]++(?:[._@+/:-][A-Za-z0-9]++)*+")
 DIGITS = 4
-#: A context is sought in so many characters before a find.
+#: The two words before a find; their end is looked at first in so many characters.
+CONTEXT = r"(\S++\s++\S++)\s++[\"'(\[]?$"
 REACH = 80
 ROUNDS = 3
 #: Distinct identifiers that a context must have led to.
 SUPPORT = 3
 CONFIDENT = 0.5
 BLOCK = 256
+_FAR = (1 << 62)
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
 
 
@@ -50,17 +52,42 @@ def _last(items: Column) -> Column:
     return F.element_at(items, -1)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: what stands inside a lambda function as an
+    expression, and not as a variable, is computed anew for every entry."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def scanned(items: Column, first: Column, merge) -> Column:
+    """What ``merge`` makes of ``first`` and all entries before each entry; one entry more at the end.
+
+    Done in blocks, whose arrays are copied per entry.
+    """
+    def cut(held: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(held) - 1, F.lit(0)), F.lit(BLOCK))
+        return F.transform(starts, lambda b: F.slice(held, b + 1, BLOCK))
+
+    def within(block: Column) -> Column:
+        return F.aggregate(block, F.array(first), lambda acc, x: F.concat(
+            acc, F.array(merge(_last(acc), x))))
+
+    def whole(inner: Column, outer: Column) -> Column:
+        pairs = F.arrays_zip(inner.alias("i"), F.slice(outer, F.lit(1), F.size(inner)).alias("o"))
+        return F.concat(F.flatten(F.transform(pairs, lambda z: F.transform(
+            F.slice(z["i"], F.lit(1), F.size(z["i"]) - 1), lambda x: merge(z["o"], x)))),
+            F.array(_last(outer)))
+
+    return let(items, lambda held: let(F.transform(cut(held), within), lambda inner: let(
+        within(F.transform(inner, _last)), lambda outer: whole(inner, outer))))
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
+
+
 def running(lengths: Column) -> Column:
-    """Sum of all entries before each entry, in blocks so that arrays are not copied per entry."""
-    zero = F.array(F.lit(0).cast("bigint"))
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(lengths) - 1, F.lit(0)), F.lit(BLOCK)),
-        lambda b: F.slice(lengths, b + 1, BLOCK))
-    inner = F.transform(blocks, lambda block: F.aggregate(
-        block, zero, lambda acc, x: F.concat(acc, F.array(_last(acc) + x))))
-    outer = F.aggregate(inner, zero, lambda acc, block: F.concat(acc, F.array(_last(acc) + _last(block))))
-    return F.flatten(F.transform(inner, lambda block, b: F.transform(
-        F.slice(block, 1, F.size(block) - 1), lambda x: x + F.element_at(outer, b + 1))))
+    """Sum of all entries before each entry."""
+    return scanned(lengths, _zero(), lambda a, b: a + b)
 
 
 def _valid(kind: str, value: Column) -> Column:
@@ -93,11 +120,12 @@ def _finds(table: DataFrame, kind: str, pattern: str) -> DataFrame:
         "_pieces", lambda p, i: F.length(p).cast("bigint")
         + F.coalesce(F.length(F.get("_values", i)), F.lit(0))))))
 
-    def find(v: Column, i: Column) -> Column:
-        piece = F.get("_pieces", i)
-        start = F.get("_starts", i) + F.length(piece)
-        tail = F.lower(F.substring(piece, -REACH, REACH))
-        context = F.regexp_extract(tail, r"(?<!\S)(\S+\s+\S+)\s+[\"'(\[]?$", 1)
+    def find(z: Column) -> Column:
+        v, piece = z["v"], z["p"]
+        start = z["s"] + F.length(piece)
+        near = F.regexp_extract(F.substring(piece, -REACH, REACH), r"\s" + CONTEXT, 1)
+        context = F.lower(F.when(near != "", near).otherwise(
+            F.regexp_extract(piece, r"(?<!\S)" + CONTEXT, 1)))
         return F.struct(
             F.lit(kind).alias("kind"), start.alias("start"),
             (start + F.length(v)).alias("end"), F.xxhash64(F.lower(v)).alias("value"),
@@ -106,8 +134,11 @@ def _finds(table: DataFrame, kind: str, pattern: str) -> DataFrame:
 
     empty = F.expr("CAST(array() AS array<struct<kind:string,start:bigint,end:bigint,"
                    "value:bigint,context:bigint,valid:boolean>>)")
+    count = F.size("_values")
+    places = F.arrays_zip(F.col("_values").alias("v"), F.slice("_pieces", F.lit(1), count).alias("p"),
+                          F.slice("_starts", F.lit(1), count).alias("s"))
     return lengths.withColumn(kind, F.when(some, F.filter(
-        F.transform("_values", find), lambda s: s["valid"])).otherwise(empty)).drop(
+        F.transform(places, find), lambda s: s["valid"])).otherwise(empty)).drop(
         "_values", "_pieces", "_starts")
 
 
@@ -119,9 +150,29 @@ def located(docs: DataFrame) -> DataFrame:
     table = _finds(table, FOUND, CANDIDATE)
     # Finds of a kind come in order of their start.
     based = table.select("doc_id", "print", F.concat(*KINDS).alias("base"), F.col(FOUND))
-    clear = F.filter(FOUND, lambda c: ~F.exists(
-        "base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return based.select("doc_id", "print", "base", clear.alias("others"))
+    both = (F.size("base") > 0) & (F.size(FOUND) > 0)
+    return based.select("doc_id", "print", "base", F.when(both, _clear(
+        F.col("base"), F.col(FOUND))).otherwise(F.col(FOUND)).alias("others"))
+
+
+def _clear(base: Column, others: Column) -> Column:
+    """The other finds that overlap no base find: a sorted list of both is passed over twice."""
+    def placed(finds: Column, rank: int) -> Column:
+        return F.transform(finds, lambda f: F.struct(
+            f["start"].alias("start"), F.lit(rank).alias("rank"), f["end"].alias("end"), f.alias("find")))
+
+    merged = F.array_sort(F.concat(placed(base, 0), placed(others, 1)))
+    ends = F.transform(merged, lambda m: F.when(m["rank"] == 0, m["end"]).otherwise(_zero()))
+    starts = F.transform(F.reverse(merged), lambda m: F.when(m["rank"] == 0, m["start"]).otherwise(
+        F.lit(_FAR)))
+    # Of each entry the last end before it, and the first start after it, among base finds.
+    before = scanned(ends, _zero(), F.greatest)
+    after = F.reverse(scanned(starts, F.lit(_FAR), F.least))
+    told = F.arrays_zip(merged.alias("m"), before.alias("b"), F.slice(
+        after, F.lit(2), F.size(merged)).alias("a"))
+    kept = F.filter(told, lambda z: (z["m"]["rank"] == 1) & (z["b"] <= z["m"]["start"])
+                    & (z["a"] >= z["m"]["end"]))
+    return F.transform(kept, lambda z: z["m"]["find"])
 
 
 def context_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -207,6 +258,43 @@ def report(docs: DataFrame) -> DataFrame:
         _listed(F.concat("base", "found")).alias("spans"), F.size("found").cast("bigint").alias("n_id"))
 
 
+def _merged(spans_: Column) -> Column:
+    """Spans sorted by start, overlapping ones made one under the kind of the first."""
+    ends = scanned(F.transform(spans_, lambda s: s["end"]), _zero(), F.greatest)
+    count = F.size(spans_)
+    told = F.arrays_zip(spans_.alias("s"), F.slice(ends, F.lit(1), count).alias("before"),
+                        F.slice(ends, F.lit(2), count).alias("upto"),
+                        F.slice(F.concat(F.transform(spans_, lambda s: s["start"]), F.array(F.lit(_FAR))),
+                                F.lit(2), count).alias("next"))
+    firsts = F.filter(told, lambda z: z["s"]["start"] >= z["before"])
+    lasts = F.filter(told, lambda z: z["next"] >= z["upto"])
+    return F.transform(F.arrays_zip(firsts.alias("f"), lasts.alias("l")), lambda z: F.struct(
+        z["f"]["s"]["kind"].alias("kind"), z["f"]["s"]["start"].alias("start"), z["l"]["upto"].alias("end")))
+
+
+def _replaced(text: Column, spans_: Column) -> Column:
+    """The text up to the end of the last span, every span replaced by its kind.
+
+    Finding a place takes time in its distance from the start, so the text is cut into the parts
+    of ``BLOCK`` spans first and these into pieces.
+    """
+    def part(at: Column) -> Column:
+        own = F.slice(spans_, at + 1, BLOCK)
+        first = F.when(at == 0, _zero()).otherwise(F.get(spans_, at - 1)["end"])
+        return F.struct(first.alias("first"), own.alias("own"), text.substr(
+            (first + 1).cast("int"), (_last(own)["end"] - first).cast("int")).alias("text"))
+
+    def piece(p: Column, s: Column, i: Column) -> Column:
+        begin = F.when(i == 0, p["first"]).otherwise(F.get(p["own"], i - 1)["end"])
+        return F.concat(
+            p["text"].substr((begin - p["first"] + 1).cast("int"), (s["start"] - begin).cast("int")),
+            F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+
+    parts = F.transform(F.sequence(F.lit(0), F.size(spans_) - 1, F.lit(BLOCK)), part)
+    return F.array_join(F.transform(parts, lambda p: F.array_join(
+        F.transform(p["own"], lambda s, i: piece(p, s, i)), "")), "")
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of ``docs``; every span of the text replaced by its kind in angle brackets.
 
@@ -217,26 +305,16 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         F.concat("base", "found"), lambda a, b: F.when(a["start"] < b["start"], -1).when(
             a["start"] > b["start"], 1).when(a["end"] > b["end"], -1).when(
             a["end"] < b["end"], 1).otherwise(0)).alias("_spans")).where(F.size("_spans") > 0).distinct()
-    merged = F.aggregate("_spans", F.expr(f"CAST(array() AS array<{SPAN}>)"), lambda acc, s: F.when(
-        (F.size(acc) > 0) & (s["start"] < _last(acc)["end"]),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-            _last(acc)["kind"].alias("kind"), _last(acc)["start"].alias("start"),
-            F.greatest(_last(acc)["end"], s["end"]).alias("end"))))).otherwise(
-        F.concat(acc, F.array(s))))
+    merged = _merged(F.col("_spans"))
     table = table.withColumn("_spans", merged).withColumnsRenamed(
         {"doc_id": "_id", "print": "_print"})
     joined = docs.join(table, docs["doc_id"].eqNullSafe(F.col("_id"))
                        & F.xxhash64(docs[text]).eqNullSafe(F.col("_print")), "left")
 
-    def from_end(i: Column) -> Column:
-        return F.when(i == 0, F.lit(0).cast("bigint")).otherwise(F.get("_spans", i - 1)["end"])
-
-    pieces = F.transform("_spans", lambda s, i: F.concat(
-        docs[text].substr((from_end(i) + 1).cast("int"), (s["start"] - from_end(i)).cast("int")),
-        F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+    clean_part = _replaced(docs[text], F.col("_spans"))
     rest = docs[text].substr((_last(F.col("_spans"))["end"] + 1).cast("int"), F.length(docs[text]))
     clean = F.when(F.col("_spans").isNull(), docs[text]).otherwise(
-        F.concat(F.array_join(pieces, ""), rest))
+        F.concat(clean_part, rest))
     changed = {text: clean}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col("_spans").isNull(), docs["n_chars"]).otherwise(

@@ -39,7 +39,7 @@ PREFIXES = (4, 5, 6)
 #: Terms of a lexicon: seen in so many toxic texts, whose share among all texts with the term
 #: surely lies so far between the usual one and all.
 SEEN, SURE, ABOVE = 5, 3.0, 0.25
-LEXICON_TERMS, FEATURE_TERMS = 192, 512
+FEATURE_TERMS = 512
 CACHED = 500_000
 VOTERS = LEXICONS + 5
 PRIOR = 0.1
@@ -93,11 +93,15 @@ _CAPITALS = [bytes([c]) for c in range(0x41, 0x5B)]
 
 
 def induce(sample: DataFrame) -> Words:
-    """Words from texts labelled 0 or 1; at most ``LEXICON_TERMS`` and ``FEATURE_TERMS`` come back."""
+    """Words from texts labelled 0 or 1, which are a bounded sample.
+
+    Every term that passes is in a lexicon; the classifier looks at these and at ``FEATURE_TERMS``
+    more.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, label in zip(byte_texts(batch["text"]), batch["label"].to_pylist(), strict=True):
-                words = {w for w in WORD.findall(data.lower()) if 2 <= len(w) <= 40}
+                words = {w for w in WORD.findall(data.lower()) if len(w) >= 2}
                 found = sorted({t for w in words for t in terms(w)})
                 yield pa.record_batch({
                     "word": pa.array(found, pa.binary()),
@@ -119,8 +123,7 @@ def induce(sample: DataFrame) -> Words:
     scored = counts.withColumn("surprise", surprise).withColumn("low", low)
     listed = scored.where((F.col("bad") >= SEEN) & (
         F.col("low") >= F.lit((bad + ABOVE * good) / (bad + good))))
-    lexicon = [bytes(r["word"]) for r in listed.orderBy(
-        F.desc("surprise"), "word").limit(LEXICON_TERMS).collect()]
+    lexicon = [bytes(r["word"]) for r in listed.orderBy(F.desc("surprise"), "word").collect()]
     other = [bytes(r["word"]) for r in scored.orderBy(
         F.desc(F.abs("surprise")), "word").limit(FEATURE_TERMS).collect()]
     features = sorted({*lexicon, *other, *_LISTED})
