@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.config import Brand, Detection, Thresholds
-from tidewatch.functions.lexicon import VALENCES, Lexicon
+from tidewatch.functions.lexicon import VALENCES, Lexicon, Turns
 from tidewatch.functions.numbers import epoch_millis
 from tidewatch.functions.text import SAMPLE_LIMIT, clip
 from tidewatch.operators.messages import clean_messages
@@ -25,8 +25,10 @@ TOXIC = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "
          "worthless")
 LEXICON = Lexicon(
     valences={w: VALENCES[w] for w in TOXIC} | {"thon": 1.3, "thnt": -0.9, "erin": 2.2, "la": 0.4},
-    degrees={"is": 0.293, "as": -0.293, "very": 0.293},
+    degrees={"is": 0.293, "as": -0.293, "very": 0.293, "and the": -0.293},
     negators=("not", "of", "que"),
+    phrases={"the thon": 2.0, "thon and": -1.0, "la thnt": 0.0, "in the": -0.5, "la de la": 1.5, "of the in": 1.0},
+    turns=Turns(never="in", so=("the", "les"), without=("de", "la"), least="to", not_least=("and", "et")),
 )
 SCORER = lexicon_scorer(LEXICON)
 

@@ -44,12 +44,35 @@ def _strip(text: str) -> str:
     return rf"regexp_replace({text}, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g')"
 
 
+_T = LEXICON.turns
+
+
+def _so(d: int) -> str:
+    return f"coalesce(plain{d} IN {_T.so}, false)"
+
+
+def _strong(d: int) -> str:
+    never = f"coalesce(plain{d} = '{_T.never}', false)"
+    return {1: "false", 2: f"{never} AND {_so(1)}", 3: f"({never} AND {_so(2)}) OR {_so(1)}"}[d]
+
+
+def _kept(d: int) -> str:
+    first, second = _T.without
+    own = " OR ".join(f"plain{n} = '{second}'" for n in range(1, d)) or "false"
+    return f"plain{d} = '{first}' AND ({own})"
+
+
+def _phrase(words: str) -> str:
+    return f"(SELECT valence FROM phrases WHERE words = {words})"
+
+
 # Scoring: expects a table expression ``texts(k, text)``, gives ``polarity(k, compound, neg, neu, pos)``.
 
 _SCORING = ",\n".join([
     _values("lexicon", "word, valence", LEXICON.scored.items()),
     _values("degrees", "word, degree", LEXICON.degrees.items()),
     _values("negators", "word", [(w,) for w in LEXICON.negators]),
+    _values("phrases", "words, valence", LEXICON.phrases.items()),
     rf"""split_words AS (
       SELECT k, list_filter(regexp_split_to_array(text, '[{_SPACE}]+'), lambda w: length(w) > 1) AS ws
       FROM texts)""",
@@ -73,7 +96,9 @@ _SCORING = ",\n".join([
       SELECT *, loud_words > 0 AND loud_words < n_words AS stands_out,
              """ + ",\n             ".join(
         f"lag({c}, {d}) OVER (PARTITION BY k ORDER BY pos) AS {c}{d}"
-        for d in (1, 2, 3) for c in ("plain", "known", "degree", "negates", "bare_loud")) + """
+        for d in (1, 2, 3) for c in ("plain", "known", "degree", "negates", "bare_loud")) + """,
+             lead(plain) OVER (PARTITION BY k ORDER BY pos) AS next1,
+             lead(plain, 2) OVER (PARTITION BY k ORDER BY pos) AS next2
       FROM context)""",
     """step0 AS (
       SELECT *, valence + CASE WHEN stands_out AND bare_loud THEN sign(valence) * 0.733::DOUBLE ELSE 0 END AS v0
@@ -84,12 +109,29 @@ _SCORING = ",\n".join([
                    + CASE WHEN stands_out AND bare_loud{d}
                           THEN CASE WHEN v{d - 1} > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END
                           ELSE 0 END) * {damp}::DOUBLE, 0))
-                  * CASE WHEN negates{d} THEN -0.74::DOUBLE ELSE 1 END END AS v{d}
+                  * CASE WHEN {_strong(d)} THEN {_T.stronger}::DOUBLE WHEN {_kept(d)} THEN 1
+                         WHEN negates{d} THEN -0.74::DOUBLE ELSE 1 END END AS v{d}
       FROM step{d - 1})""" for d, damp in ((1, "1.0"), (2, "0.95"), (3, "0.9"))],
+    f"""phrased AS (
+      SELECT s.k, pos, turn, plain1, plain2, known1,
+             CASE WHEN plain3 IS NULL OR known3 THEN v3
+             ELSE coalesce({_phrase("plain || ' ' || next1 || ' ' || next2")}, {_phrase("plain || ' ' || next1")},
+                           {_phrase("plain1 || ' ' || plain")}, {_phrase("plain2 || ' ' || plain1 || ' ' || plain")},
+                           {_phrase("plain2 || ' ' || plain1")}, {_phrase("plain3 || ' ' || plain2 || ' ' || plain1")},
+                           {_phrase("plain3 || ' ' || plain2")}, v3)
+                  + {" + ".join(f"coalesce((SELECT degree FROM degrees WHERE word = {w}), 0)" for w in (
+                      "plain3 || ' ' || plain2 || ' ' || plain1", "plain3 || ' ' || plain2", "plain2 || ' ' || plain1"))}
+             END AS v4
+      FROM step3 s)""",
+    f"""turned AS (
+      SELECT *, v4 * CASE WHEN plain1 = '{_T.least}' AND NOT known1
+                               AND NOT coalesce(plain2 IN {_T.not_least}, false)
+                          THEN -0.74::DOUBLE ELSE 1 END AS v5
+      FROM phrased)""",
     """weighed AS (
-      SELECT k, pos, v3 * CASE WHEN turn IS NULL OR pos = turn THEN 1.0
+      SELECT k, pos, v5 * CASE WHEN turn IS NULL OR pos = turn THEN 1.0
                                WHEN pos < turn THEN 0.5 ELSE 1.5 END::DOUBLE AS v
-      FROM step3)""",
+      FROM turned)""",
     """sums AS (
       SELECT k, sum(v ORDER BY pos) AS total, coalesce(sum(v + 1 ORDER BY pos) FILTER (WHERE v > 0), 0) AS up,
              coalesce(sum(1 - v ORDER BY pos) FILTER (WHERE v < 0), 0) AS down,

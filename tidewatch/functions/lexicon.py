@@ -51,6 +51,26 @@ NEGATORS = (
 )
 
 
+# Phrases with a valence of their own, from the published rules.
+PHRASES = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0, "yeah right": -2.0,
+    "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
+}
+
+
+@dataclass(frozen=True)
+class Turns:
+    """Words that change what stands around them, and by how much."""
+
+    # Fixed values of the published rules: "never so", "never this", "without doubt", "at least".
+    never: str = "never"
+    so: tuple[str, ...] = ("so", "this")
+    stronger: float = 1.25
+    without: tuple[str, str] = ("without", "doubt")
+    least: str = "least"
+    not_least: tuple[str, ...] = ("at", "very")
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Valences by lower-case word, plus the degree adverbs and negators to honour."""
@@ -60,6 +80,9 @@ class Lexicon:
         default_factory=lambda: {w: DEGREE for w in STRONGER} | {w: -DEGREE for w in WEAKER}
     )
     negators: tuple[str, ...] = NEGATORS
+    #: Phrases of two or three words that have a valence of their own.
+    phrases: Mapping[str, float] = field(default_factory=lambda: dict(PHRASES))
+    turns: Turns = field(default_factory=lambda: Turns())
 
     def __post_init__(self):
         if len(self.valences) > MAX_WORDS:
@@ -85,6 +108,12 @@ class Lexicon:
     def scores(self, word: str) -> str:
         return one_of(word, self.scored)
 
+    def phrase(self, words: str) -> str:
+        return _lookup(words, self.phrases)
+
+    def phrase_degree(self, words: str) -> str:
+        return _lookup(words, {p: d for p, d in self.degrees.items() if " " in p})
+
     def negates(self, word: str) -> str:
         return f"({one_of(word, self.negators)} OR contains({word}, 'n\\'t'))"
 
@@ -114,6 +143,12 @@ def _lookup(word: str, table: Mapping[str, float]) -> str:
     return f"try_element_at(get({constant}, {bucket}), {word})"
 
 
+def load_phrases(path: str | Path) -> dict[str, float]:
+    """A phrase file: words in lower case between single spaces and their valence, tab-separated."""
+    rows = (line.split("\t") for line in Path(path).read_text(encoding="utf-8").splitlines())
+    return {" ".join(row[0].lower().split()): float(row[1]) for row in rows if len(row) > 1}
+
+
 def load_lexicon(path: str | Path) -> Lexicon:
     """A lexicon file: a word and its valence per line, tab-separated; more columns are ignored."""
     rows = (line.split("\t") for line in Path(path).read_text(encoding="utf-8").splitlines())

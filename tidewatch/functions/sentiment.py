@@ -2,7 +2,8 @@
 
 The scorer follows Hutto and Gilbert, "VADER: A Parsimonious Rule-based Model for Sentiment
 Analysis of Social Media Text" (2014): word valences, changed by capitals, degree adverbs,
-negation, a contrasting "but" and punctuation, summed and normalised.
+negation, "least" and "never so", phrases with a valence of their own, a contrasting "but" and
+punctuation, summed and normalised.
 """
 
 from __future__ import annotations
@@ -74,10 +75,10 @@ def with_polarity(df: DataFrame, text: str, lexicon: Lexicon, into: str = "polar
 
     # Capitals stand out only where some words, but not all, are in capitals. They matter for
     # a found word and the three before it; get() is zero-based and null outside the array.
-    near = " OR ".join(_loud(w) for w in (
+    loud_near = " OR ".join(_loud(w) for w in (
         "h.word", *[f"get(_words, h.at - {d})" for d in (1, 2, 3)]))
     stands_out = f"""
-        CASE WHEN exists(_found, h -> {near})
+        CASE WHEN exists(_found, h -> {loud_near})
         THEN size(filter(_words, w -> {_loud('w')})) BETWEEN 1 AND size(_words) - 1
         ELSE false END"""
 
@@ -86,20 +87,62 @@ def with_polarity(df: DataFrame, text: str, lexicon: Lexicon, into: str = "polar
         CASE WHEN size(_found) > 0 THEN array_position(transform(_words, w ->
           contains(lower(w), 'but') AND {bare('lower(w)')} = 'but'), true) ELSE 0 END"""
 
-    before = f"""
-        transform(array({', '.join(f'{d}D' for d in DISTANCE)}), (weight, d) ->
-          named_struct('weight', weight, 'word', {bare('get(_words, h.at - 1 - d)')}))"""
-    change = f"""
-        b.weight * ({lexicon.degree('lower(b.word)')} * IF(v < 0, -1, 1)
-          + IF(_stands_out AND {_loud('b.word')}, IF(v > 0, {CAPITALS}D, -{CAPITALS}D), 0D))"""
-    in_context = f"""
-        CASE WHEN b.word IS NULL OR {lexicon.contains('lower(b.word)')} THEN v
-        ELSE (v + coalesce({change}, 0D)) * IF({lexicon.negates('lower(b.word)')}, {NEGATION}D, 1D)
-        END"""
-    base = lexicon.valence("lower(h.word)")
-    start = f"{base} + IF(_stands_out AND {_loud('h.word')}, signum({base}) * {CAPITALS}D, 0D)"
+    # The three words before a found one, bare, and the two after it in lower case.
+    near = f"""
+        transform(_found, h -> named_struct('at', h.at, 'word', h.word,
+          'b1', {bare('get(_words, h.at - 1)')}, 'b2', {bare('get(_words, h.at - 2)')},
+          'b3', {bare('get(_words, h.at - 3)')}, 'n1', lower({bare('get(_words, h.at + 1)')}),
+          'n2', lower({bare('get(_words, h.at + 2)')})))"""
+    turns = lexicon.turns
+    w0, w1, w2, w3 = (f"lower(h.{x})" for x in ("word", "b1", "b2", "b3"))
+    never, doubt = quoted(turns.never), tuple(map(quoted, turns.without))
+
+    def negated(word: str, kept: str, strong: str) -> str:
+        return (f"CASE WHEN {strong} THEN {turns.stronger}D WHEN {kept} THEN 1D "
+                f"WHEN {lexicon.negates(word)} THEN {NEGATION}D ELSE 1D END")
+
+    # What a word before does to the valence: "never so good" is stronger, "without doubt" stays.
+    factors = (
+        f"IF({lexicon.negates(w1)}, {NEGATION}D, 1D)",
+        negated(w2, f"{w2} = {doubt[0]} AND {w1} = {doubt[1]}", f"{w2} = {never} AND {one_of(w1, turns.so)}"),
+        negated(w3, f"{w3} = {doubt[0]} AND ({w2} = {doubt[1]} OR {w1} = {doubt[1]})",
+                f"({w3} = {never} AND {one_of(w2, turns.so)}) OR {one_of(w1, turns.so)}"),
+    )
+    start = (f"{lexicon.valence(w0)} + IF(_stands_out AND {_loud('h.word')}, "
+             f"signum({lexicon.valence(w0)}) * {CAPITALS}D, 0D)")
+
+    def let(value: str, name: str, body: str) -> str:
+        return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+    def after(v: str, d: int) -> str:
+        own = f"h.b{d + 1}"
+        shift = (f"{DISTANCE[d]}D * ({lexicon.degree(f'lower({own})')} * IF({v} < 0, -1, 1) "
+                 f"+ IF(_stands_out AND {_loud(own)}, IF({v} > 0, {CAPITALS}D, -{CAPITALS}D), 0D))")
+        moved = f"({v} + coalesce({shift}, 0D)) * {factors[d]}"
+        if d == 2:
+            moved = let(moved, "u", _in_phrases("u"))
+        return f"CASE WHEN {own} IS NULL OR {lexicon.contains(f'lower({own})')} THEN {v} ELSE {moved} END"
+
+    def _in_phrases(v: str) -> str:
+        """The valence of a phrase the word belongs to, or that stands right before it."""
+        def joined(*words: str) -> str:
+            return f"concat_ws(' ', {', '.join(words)})"
+
+        before = [joined(w1, w0), joined(w2, w1, w0), joined(w2, w1), joined(w3, w2, w1), joined(w3, w2)]
+        fore = f"coalesce({', '.join(map(lexicon.phrase, before))}, {v})"
+        # A phrase that begins with the word comes last and counts.
+        own = (f"coalesce(IF(h.n2 IS NOT NULL, {lexicon.phrase(joined(w0, 'h.n1', 'h.n2'))}, NULL), "
+               f"IF(h.n1 IS NOT NULL, {lexicon.phrase(joined(w0, 'h.n1'))}, NULL), {fore})")
+        extra = [f"coalesce({lexicon.phrase_degree(p)}, 0D)" for p in (before[3], before[4], before[2])]
+        return f"({own} + {' + '.join(extra)})"
+
+    # "least good" is turned round, "at least good" is not.
+    least = f"""
+        IF({w1} = {quoted(turns.least)} AND NOT {lexicon.contains(w1)}
+           AND NOT coalesce({one_of(w2, turns.not_least)}, false), {NEGATION}D, 1D)"""
+    chain = let(start, "v0", let(after("v0", 0), "v1", let(after("v1", 1), "v2", after("v2", 2))))
     valences = f"""
-        transform(_found, h -> aggregate({before}, {start}, (v, b) -> {in_context})
+        transform(_near, h -> {chain} * coalesce({least}, 1D)
           * CASE WHEN _turn = 0 OR h.at + 1 = _turn THEN 1D
             WHEN h.at + 1 < _turn THEN {BEFORE_BUT}D ELSE {AFTER_BUT}D END)"""
 
@@ -116,7 +159,7 @@ def with_polarity(df: DataFrame, text: str, lexicon: Lexicon, into: str = "polar
     return (
         _with(df, _words=words)
         .transform(_with, _found=found)
-        .transform(_with, _stands_out=stands_out, _turn=turn)
+        .transform(_with, _stands_out=stands_out, _turn=turn, _near=near)
         .transform(_with, _valences=valences)
         .transform(
             _with,
