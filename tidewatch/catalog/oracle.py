@@ -464,6 +464,13 @@ def oracle_sql() -> dict[str, str]:
             _aggregate("late", f"event_time >= TIMESTAMP '{AS_OF}'")),
         "append_alerts": _over_alerts(
             "SELECT id, brand, triggered_at, volume, severity, sample_text FROM alert_table"),
+        "upsert_revisions": _over_windows("SELECT brand, window_start, volume, neg_count FROM windows"),
+        "persisted_records": _over_alerts("""
+            SELECT 'aggregates' AS place, count(*) AS records FROM windows
+            UNION ALL SELECT 'alerts', count(*) FROM alerts
+            UNION ALL SELECT 'aggregates: record is a JSON object', count(*) FROM windows WHERE volume % 3 = 0
+            UNION ALL SELECT 'aggregates: brand is required', count(*) FROM windows WHERE volume % 3 = 1
+            UNION ALL SELECT 'alerts: brand is required', count(*) FROM alerts"""),
         "known_brands": "SELECT DISTINCT event_type AS brand FROM events ORDER BY brand",
         "brand_series": _over_windows("SELECT * FROM series ORDER BY window_start", _SERIES),
         "brand_trend": _over_windows("""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -390,6 +391,44 @@ def upsert_aggregates(spark, path):
         {c: F.col(c).cast("double") for c in ratios})
 
 
+@query
+def upsert_revisions(spark, path):
+    """Two writers with equal batch numbers, each with two revisions of every key in one batch."""
+    root = shared_dir(spark, "revisions")
+    now = keep(inputs.aggregates(spark, path), "windows")
+    for writer, more in (("first", 5), ("second", 0)):
+        revisions = [now.withColumns({"volume": F.col("volume") + more + extra, "revision": F.lit(number)})
+                     for number, extra in ((2, 0), (1, 9))]
+        stored.write_aggregates(revisions[0].unionByName(revisions[1]), root, 7, "revision", writer)
+    return _seconds(stored.read_aggregates(spark, root), "window_start").select(
+        "brand", "window_start", "volume", "neg_count")
+
+
+@query
+def persisted_records(spark, path):
+    """Records of both result topics, some unreadable, some breaking their contract: where each ends."""
+    root = shared_dir(spark, "persister")
+    aggregates = keep(windows.as_stream_record(inputs.aggregates(spark, path)), "windows")
+    found = _seconds(_alerts(spark, path), "triggered_at", "window_start", "window_end")
+
+    def sent(df: DataFrame, topic: str, value: Column) -> DataFrame:
+        return df.select(F.lit(topic).alias("topic"), value.alias("value"), F.lit(1).alias("version"))
+
+    whole = F.to_json(F.struct("*"))
+    third = F.col("volume") % 3
+    records = reduce(DataFrame.unionByName, [
+        sent(aggregates, "aggregates", whole), sent(found, "alerts", whole),
+        sent(aggregates.where(third == 0), "aggregates", F.lit("not json")),
+        sent(aggregates.where(third == 1).drop("brand"), "aggregates", whole),
+        sent(found.drop("brand"), "alerts", whole)])
+    stored.persist_batch(records, "aggregates", root, 0)
+    kept = [stored.read_aggregates(spark, f"{root}/aggregates").select(F.lit("aggregates").alias("place")),
+            stored.read_alerts(spark, f"{root}/alerts").select(F.lit("alerts").alias("place"))]
+    lost = spark.read.schema("topic string, violations array<string>, record string").json(f"{root}/rejected")
+    places = [*kept, lost.select(F.concat_ws(": ", "topic", F.array_join("violations", "; ")).alias("place"))]
+    return reduce(DataFrame.unionByName, places).groupBy("place").agg(F.count("*").alias("records"))
+
+
 @query
 def append_alerts(spark, path):
     root = shared_dir(spark, "alerts")
@@ -403,13 +442,27 @@ def append_alerts(spark, path):
 # Serving
 
 
+def _stored_aggregates(spark, path) -> DataFrame:
+    """The aggregates table as two writers leave it: an older one's rows are superseded."""
+    root = shared_dir(spark, "aggregates")
+    now = keep(inputs.aggregates(spark, path), "windows")
+    stale = now.withColumn("volume", F.col("volume") + 1)
+    stored.write_aggregates(stale, root, 0, writer="old")
+    stored.write_aggregates(now, root, 0, writer="new")
+    return stored.read_aggregates(spark, root)
+
+
 def _alert_table(spark, path) -> DataFrame:
-    return stored.alert_rows(_alerts(spark, path))
+    """The alerts table after the same alerts were written by two writers."""
+    root = shared_dir(spark, "alerts")
+    found = keep(_alerts(spark, path), "alerts")
+    for writer in ("old", "new"):
+        stored.write_alerts(found, root, 0, writer=writer)
+    return stored.read_alerts(spark, root)
 
 
 def _series(spark, path) -> DataFrame:
-    rows = stored.aggregate_rows(inputs.aggregates(spark, path))
-    return serving.series(rows, "click", minutes=1440, as_of=AS_OF)
+    return serving.series(_stored_aggregates(spark, path), "click", minutes=1440, as_of=AS_OF)
 
 
 def _doubles(df: DataFrame, *names: str) -> DataFrame:
@@ -418,7 +471,7 @@ def _doubles(df: DataFrame, *names: str) -> DataFrame:
 
 @query
 def known_brands(spark, path):
-    return serving.brands(stored.aggregate_rows(inputs.aggregates(spark, path)))
+    return serving.brands(_stored_aggregates(spark, path))
 
 
 @query

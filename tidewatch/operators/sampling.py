@@ -86,16 +86,21 @@ def exact_split(
     df: DataFrame, *ids: str, seed: int = 42, train: float = 0.8, val: float = 0.1
 ) -> DataFrame:
     """Add ``split``: the first ``int(train * n)`` rows by seed, the next ``int(val * n)``, the rest."""
-    keyed = _keyed(df, seed, ids)
+    return split_by_key(_keyed(df, seed, ids), _KEY, train, val).drop(_KEY)
+
+
+def split_by_key(df: DataFrame, key: str, train: float = 0.8, val: float = 0.1) -> DataFrame:
+    """``exact_split`` of rows that hold their random key already; only this column is passed over."""
+    keyed = df if key == _KEY else df.withColumn(_KEY, F.col(key))
     first = (F.col("_rows") * F.lit(train)).cast("bigint")
     second = (F.col("_rows") * F.lit(val)).cast("bigint")
-    cuts = _cuts(keyed, {"train": first, "val": first + second})
-    key = F.col(_KEY)
+    cuts = _cuts(keyed.select(_KEY), {"train": first, "val": first + second})
+    own = F.col(_KEY)
     return keyed.withColumn(
         "split",
-        F.when(key <= F.coalesce(cuts["train"], F.lit("")), "train")
-        .when(key <= F.coalesce(cuts["val"], F.lit("")), "val").otherwise("test"),
-    ).drop(_KEY)
+        F.when(own <= F.coalesce(cuts["train"], F.lit("")), "train")
+        .when(own <= F.coalesce(cuts["val"], F.lit("")), "val").otherwise("test"),
+    )
 
 
 def hash_split(

@@ -9,9 +9,9 @@ from tidewatch.functions.lexicon import Lexicon
 from tidewatch.functions.numbers import first_present
 from tidewatch.functions.sentiment import weak_label, with_polarity
 from tidewatch.functions.text import MESSAGE_LIMIT, MIN_CORPUS_TEXT, clip, strip_space
-from tidewatch.operators.dedupe import first_per_key
 from tidewatch.operators.messages import keep_long
-from tidewatch.operators.sampling import exact_split, sample_rows
+from tidewatch.operators.sampling import random_key, sample_rows, split_by_key
+from tidewatch.session import stored
 
 # The names of the two sources.
 PUBLIC, WEAK = "public", "reddit_weak"
@@ -40,10 +40,22 @@ def weak_corpus(
 
 
 def build_corpus(public: DataFrame, weak: DataFrame | None, *order: str, seed: int = 42) -> DataFrame:
-    """Both parts together, every text once (public first, then by ``order``), with its split."""
+    """Both parts together, every text once (public first, then by ``order``), with its split.
+
+    The rows are computed once and stored with a digest of the text and their random key. What is
+    then compared, split and joined are these; texts are read once more, for the result.
+    """
     rows = public if weak is None else public.unionByName(weak)
-    once = first_per_key(rows, "text", (F.col("source") != PUBLIC), *order)
-    return exact_split(once, "text", seed=seed)
+    columns = rows.columns
+    base = stored(rows.where(F.col("text").isNotNull()).withColumns({
+        "_digest": F.unhex(F.md5(F.col("text").cast("binary"))), "_key": random_key(seed, "text"),
+        "_at": F.monotonically_increasing_id()}), "corpus")
+    rank = [(F.col("source") != PUBLIC).alias("_other"), *order,
+            *[c for c in columns if c not in ("text", *order)], "_at", "_key"]
+    once = stored(base.groupBy("_digest").agg(F.min(F.struct(*rank)).alias("_first")).select(
+        "_first._at", "_first._key"), "corpus-once")
+    chosen = split_by_key(once, "_key").select("_at", "split")
+    return base.join(chosen, "_at").select(*columns, "split")
 
 
 def sample_public(public: DataFrame, n: int | None, *ids: str, seed: int = 42) -> DataFrame:
