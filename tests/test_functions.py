@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidewatch.functions import numbers, sentiment, text
-from tidewatch.functions.lexicon import Lexicon, load_lexicon
+from tidewatch.functions.lexicon import Lexicon, load_lexicon, load_phrases
 
 
 def test_round_even_is_the_rounding_of_the_binary_value(one):
@@ -104,6 +104,60 @@ def test_polarity_rules(spark):
         t: compound(total) for t, total in cases.items()}
 
 
+def plain_polarity(text, lexicon):
+    """The published rules by a plain loop over the words, without marks and capitals."""
+    words = [w for w in text.lower().split() if len(w) > 1]
+    total = 0.0
+    for i, word in enumerate(words):
+        if word not in lexicon.scored:
+            continue
+        v = lexicon.valences[word]
+        at = lambda d: words[i - d] if i >= d else None
+        for d in (1, 2, 3):
+            if at(d) is None or at(d) in lexicon.valences:
+                continue
+            v += (1, 0.95, 0.9)[d - 1] * lexicon.degrees.get(at(d), 0) * (-1 if v < 0 else 1)
+            so = lexicon.turns.so
+            strong = d == 2 and at(2) == "never" and at(1) in so or d == 3 and (
+                at(3) == "never" and at(2) in so or at(1) in so)
+            kept = d > 1 and at(d) == "without" and "doubt" in [at(n) for n in range(1, d)]
+            negates = at(d) in lexicon.negators or "n't" in at(d)
+            v *= 1.25 if strong else 1 if kept else -0.74 if negates else 1
+            if d == 3:
+                seen = [[1, 0], [2, 1, 0], [2, 1], [3, 2, 1], [3, 2]]
+                phrases = [" ".join(at(n) for n in p) for p in seen]
+                v = next((lexicon.phrases[p] for p in phrases if p in lexicon.phrases), v)
+                for n in (2, 3):
+                    own = " ".join(words[i:i + n])
+                    v = lexicon.phrases.get(own, v) if len(words) >= i + n else v
+                v += sum(lexicon.degrees.get(phrases[k], 0) for k in (3, 4, 2))
+        if at(1) == "least" and at(1) not in lexicon.valences and at(2) not in ("at", "very"):
+            v *= -0.74
+        total += v
+    return total / (total * total + 15) ** 0.5
+
+
+def test_phrases_and_turned_words(spark):
+    lexicon = Lexicon(
+        valences={"good": 1.9, "bad": -2.5, "bomb": -2.2, "die": -2.9, "ass": -2.5, "broken": -2.1, "heart": 0.5},
+        degrees={"very": 0.293, "sort of": -0.293, "kind of": -0.293})
+    rng = random.Random(5)
+    pool = ["good", "bad", "bomb", "die", "ass", "broken", "heart", "the", "to", "for", "least", "at", "very",
+            "never", "so", "this", "without", "doubt", "not", "isn't", "sort", "kind", "of", "day", "night"]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(1, 9))) for _ in range(1500)]
+    texts += ["this is the bomb", "we think it was to die for", "it is the least good", "it is at least good",
+              "it was never so good", "day night broken heart", "day it is sort of good"]
+    got = [p["compound"] for p in polarity(spark, texts, lexicon)]
+    assert got == pytest.approx([plain_polarity(t, lexicon) for t in texts], abs=6e-5)
+    assert len(set(got)) > 200
+
+
+def test_phrases_from_a_file(tmp_path):
+    path = tmp_path / "phrases.txt"
+    path.write_text("Kiss  of death\t-1.5\tmore\nno valence\n")
+    assert load_phrases(path) == {"kiss of death": -1.5}
+
+
 def test_polarity_shares_and_empty_texts(spark):
     good, empty, none, short = polarity(spark, ["good bad day", "", None, "a b"])
     mass = 2.9 + 3.5 + 1

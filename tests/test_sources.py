@@ -2,10 +2,13 @@
 
 import gzip
 import json
+import os
 
 import pytest
 import zstandard
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewatch.sources import dumps, tables, topics
 
@@ -93,3 +96,47 @@ def test_public_corpus(spark, tmp_path):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(PySparkException, match="(?i)kafka"):
         topics.kafka_stream(spark, "localhost:1", ["a"])
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 10**6])
+@pytest.mark.parametrize("end", ["", "\n"])
+def test_frames_that_end_anywhere(spark, tmp_path, size, end):
+    """Every line once, whatever frames cut it into; some frames hold no line break, some are skipped."""
+    lines = [f"line {n} " + "x" * (n * 37 % 90) for n in range(25)] + ["", "é" * 40, "last"]
+    data = ("\n".join(lines) + end).encode()
+    packing = zstandard.ZstdCompressor(write_checksum=size % 2 == 1, write_content_size=size != 7)
+    frames = [packing.compress(data[i:i + size]) for i in range(0, len(data), size)]
+    frames.insert(len(frames) // 2, b"\x53\x2a\x4d\x18\x03\x00\x00\x00abc")
+    (tmp_path / "a b.zst").write_bytes(b"".join(frames))
+    (tmp_path / "b.zst").write_bytes(packing.compress(b"other\nfile"))
+    (tmp_path / "empty.zst").write_bytes(b"")
+    got = [r["value"] for r in dumps.zstd_lines(spark, str(tmp_path)).collect()]
+    assert sorted(x for x in got if x) == sorted([*filter(None, lines), "other", "file"])
+
+
+def test_a_file_of_many_frames_is_read_by_several_tasks(spark, tmp_path):
+    packing = zstandard.ZstdCompressor()
+    (tmp_path / "a.zst").write_bytes(b"".join(packing.compress(b"one line\n" * 50) for _ in range(40)))
+    lines = dumps.zstd_lines(spark, str(tmp_path))
+    counts = [r["n"] for r in lines.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(counts) == 2000 and len(counts) > 10
+
+
+def test_a_file_that_ends_within_a_frame_fails(spark, tmp_path):
+    (tmp_path / "cut.zst").write_bytes(zstandard.ZstdCompressor().compress(os.urandom(5000))[:-100])
+    with pytest.raises(Exception, match="ends within a frame"):
+        dumps.zstd_lines(spark, str(tmp_path)).collect()
+
+
+def test_no_path_is_collected(spark, tmp_path, monkeypatch):
+    for folder in dumps.DUMP_FOLDERS:
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a b%20c.csv").write_text('id,body\n1,"two\nlines"\nid,body\n')
+        (tmp_path / folder / "d.csv").write_text('body,extra,id\nx,y,2\n,,\n')
+        (tmp_path / folder / "e.jsonl").write_text('{"id": "3", "body": "z"}\n')
+    monkeypatch.setattr(DataFrame, "inputFiles", None)
+    df = dumps.read_dump_folder(spark, str(tmp_path))
+    monkeypatch.setattr(DataFrame, "collect", None)
+    rows = df.select("folder", "id", "body").toLocalIterator()
+    assert sorted(map(tuple, rows)) == sorted(
+        (f, i, b) for f in dumps.DUMP_FOLDERS for i, b in (("1", "two\nlines"), ("2", "x"), ("3", "z")))

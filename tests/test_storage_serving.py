@@ -191,3 +191,18 @@ def test_alert_queries(spark):
     assert serving.alerts(many, active=True, as_of=as_of).count() == 11 * 200
     with pytest.raises(ValueError):
         serving.alerts(stored, limit=0)
+
+
+def test_serving_reads_few_days_of_the_stored_table(spark, tmp_path):
+    """Filters on the day reach the files, below the choice of the last write."""
+    rows = spark.range(40).select(
+        F.lit("ferry").alias("brand"), F.timestamp_seconds(F.col("id") * 43200).alias("window_start"),
+        F.timestamp_seconds(F.col("id") * 43200 + 300).alias("window_end"), F.col("id").alias("volume"),
+        F.lit(1).alias("neg_count"), F.lit(0.5).alias("neg_ratio"), F.lit(0.5).alias("avg_neg_prob"),
+        F.lit(1).alias("unique_authors"), F.lit(0.0).alias("influencer_neg"))
+    tables.write_aggregates(rows, str(tmp_path), 0)
+    found = serving.series(tables.read_aggregates(spark, str(tmp_path)), "ferry", minutes=1440, as_of="1970-01-10 00:00:00")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("PartitionFilters"):]
+    assert "window_date" in scan.split("]")[0] and "EqualTo(brand,ferry)" in scan
+    assert found.count() == 24 and "window_date" not in found.columns

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -166,6 +167,27 @@ def feed_stream(spark: SparkSession, layout: StructType, root: str) -> DataFrame
         "recursiveFileLookup", True).parquet(root)
 
 
+FRAME_BYTES = 10_000
+# Fixed value: a zstd frame that is skipped and holds nothing.
+EMPTY_FRAME = "P*M\x18\0\0\0\0"
+
+
+def write_frames(lines: DataFrame, folder: str) -> None:
+    """Lines (column ``line``) as zstd files of frames of so many bytes, with empty ones between."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        packing = zstandard.ZstdCompressor(write_checksum=True)
+        for batch in batches:
+            data = "".join(f"{line}\n" for line in batch["line"].to_pylist()).encode()
+            yield pa.record_batch({"frame": pa.array(
+                [packing.compress(data[i:i + FRAME_BYTES]) for i in range(0, len(data), FRAME_BYTES)],
+                pa.binary())})
+
+    frames = lines.mapInArrow(run, "frame binary").select(F.col("frame").cast("string"))
+    frames.write.option("lineSep", EMPTY_FRAME).option("compression", "none").text(folder)
+
+
 def labelled_documents(spark: SparkSession, path: str) -> DataFrame:
     """Documents with a label, as a three-class corpus: 0 toxic, 2 of quality, else 1."""
     labels = table(spark, path, "labels")

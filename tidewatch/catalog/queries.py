@@ -21,7 +21,7 @@ from tidewatch.session import shared_dir, spread
 from tidewatch.session import stored as keep
 from tidewatch.sinks import tables as stored
 from tidewatch.sinks import topics
-from tidewatch.sources.dumps import DUMP_KINDS, read_dump_folder
+from tidewatch.sources.dumps import DUMP_KINDS, read_dump_folder, read_zstd
 from tidewatch.sources.tables import public_corpus
 from tidewatch.streaming import monitor
 from tidewatch.streaming.detector import detect_spike_stream
@@ -116,6 +116,16 @@ def dump_folder_scan(spark, path):
         "id", "type", "author", "title", F.md5("body").alias("body_md5"), "score", "created_utc")
 
 
+@query
+def zstd_frames_scan(spark, path):
+    """Dump records in zstd files of many frames, which end anywhere in a line."""
+    root = shared_dir(spark, "frames")
+    lines = inputs.conversation_records(spark, path).select(F.to_json(F.struct("*")).alias("line"))
+    inputs.write_frames(lines, root)
+    return normalise.normalise(read_zstd(spark, root, pattern="part-*").withColumn("brand", F.lit("none"))).select(
+        "id", "type", "author", "title", F.md5("body").alias("body_md5"), "score", "created_utc")
+
+
 @query
 def json_drop_malformed(spark, path):
     kind, props = F.col("event_type"), F.col("props")

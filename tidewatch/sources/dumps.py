@@ -2,98 +2,156 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.functions.text import strip_space
 from tidewatch.operators.messages import decode
-from tidewatch.operators.normalise import with_missing
 from tidewatch.schemas import DUMP
+from tidewatch.session import stored
 
-# File kinds and folders of a dump, largest zstd window, and that of Spark's codec.
+# File kinds and folders of a dump, largest zstd window, and the first of the marks
+# of zstd frames that are skipped.
 DUMP_KINDS = ("zst", "ndjson", "jsonl", "csv")
 DUMP_FOLDERS = ("submissions", "comments")
 ZSTD_WINDOW = 2**31
-SPARK_WINDOW = 2**27
+_SKIPPABLE = 0x184D2A50
 
 # The largest header of a frame, and what is read of a file at once.
 _HEADER_BYTES = 18
 _BLOCK_BYTES = 1 << 18
+# Tasks per core that the frames of zstd files are dealt to, at most.
+_FRAME_TASKS = 16
 
 
-def files_below(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
-    """Names of the files at ``path`` (a file, folder or glob) that match ``pattern``."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return sorted(map(unquote, listing.inputFiles()))
+def _listed(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*") -> DataFrame:
+    """The files at ``paths`` (files, folders or globs) that match: ``path``, and ``file`` as scans name it."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths).select(
+        "path", F.col("_metadata.file_path").alias("file"))
 
 
-def _open(path: str):
-    """Open a file on any file system pyarrow knows; runs in tasks."""
+def _open(path: str, seek: bool = False):
+    """Open a file on any file system pyarrow knows, to read on or also to ``seek``; runs in tasks."""
     from pyarrow import fs
 
     if path.startswith("file:"):
         path = re.sub("^file:/+", "/", path)
     if "://" not in path:
-        return fs.LocalFileSystem().open_input_stream(path, compression=None)
+        local = fs.LocalFileSystem()
+        return local.open_input_file(path) if seek else local.open_input_stream(path, compression=None)
     store, name = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
-    return store.open_input_stream(name, compression=None)
+    return store.open_input_file(name) if seek else store.open_input_stream(name, compression=None)
 
 
-def _windows(files: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whether a file's first frame needs a window beyond that of Spark's codec."""
+def _frames(files: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The frames of zstd files: where each begins and how long it is, without unpacking any.
+
+    Only the headers of frames and of their blocks are looked at. What the format says of them:
+    a frame header's length follows from its descriptor, a block header is three bytes (last
+    block, kind, size; of a repeated byte one byte is stored), a checksum is four bytes.
+    """
     import zstandard
 
     for batch in files:
-        wide = []
         for path in batch["path"].to_pylist():
-            with _open(path) as raw:
-                head = raw.read(_HEADER_BYTES)
-            wide.append(len(head) > 4 and zstandard.get_frame_parameters(head).window_size > SPARK_WINDOW)
-        yield pa.record_batch({"path": batch["path"], "wide": pa.array(wide, pa.bool_())})
-
-
-def _wide_lines(files: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of files with long windows: whole lines of each unpacked block, the rest carried on."""
+            rows: list[tuple[int, int]] = []
+            with _open(path, seek=True) as raw:
+                at, end = 0, raw.size()
+                while at < end:
+                    raw.seek(at)
+                    head = raw.read(min(_HEADER_BYTES, end - at))
+                    magic = int.from_bytes(head[:4], "little")
+                    if magic & ~15 == _SKIPPABLE:
+                        at += 8 + int.from_bytes(head[4:8], "little")
+                        continue
+                    told = zstandard.get_frame_parameters(head)
+                    place = at + zstandard.frame_header_size(head)
+                    last = False
+                    while not last:
+                        raw.seek(place)
+                        block = int.from_bytes(raw.read(3), "little")
+                        last, kind, size = block & 1, block >> 1 & 3, block >> 3
+                        place += 3 + (1 if kind == 1 else size)
+                        if place > end:
+                            raise ValueError(f"{path} ends within a frame")
+                    place += 4 if told.has_checksum else 0
+                    rows.append((at, place - at))
+                    at = place
+            yield pa.record_batch({
+                "path": pa.array([path] * len(rows), pa.string()),
+                "number": pa.array(range(len(rows)), pa.int64()),
+                "offset": pa.array([r[0] for r in rows], pa.int64()),
+                "size": pa.array([r[1] for r in rows], pa.int64())})
+
+
+def _unpacked(raw, offset: int, size: int | None) -> Iterator[bytes]:
+    """Unpacked blocks from an offset on: of ``size`` packed bytes, or of all that follows."""
     import zstandard
 
-    for batch in files:
-        for path in batch["path"].to_pylist():
-            unpacking = zstandard.ZstdDecompressor(max_window_size=ZSTD_WINDOW).decompressobj(
-                read_across_frames=True)
-            carried = b""
-            with _open(path) as packed:
-                while block := packed.read(_BLOCK_BYTES):
-                    *whole, carried = (carried + unpacking.decompress(block)).split(b"\n")
-                    yield pa.record_batch({"value": pa.array(whole, pa.binary())})
-            yield pa.record_batch({"value": pa.array([carried] if carried else [], pa.binary())})
+    unpacking = zstandard.ZstdDecompressor(max_window_size=ZSTD_WINDOW).decompressobj(
+        read_across_frames=True)
+    raw.seek(offset)
+    while size is None or size > 0:
+        block = raw.read(_BLOCK_BYTES if size is None else min(_BLOCK_BYTES, size))
+        if not block:
+            return
+        if size is not None:
+            size -= len(block)
+        yield unpacking.decompress(block)
+
 
+def _frame_lines(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines that begin in a frame, or right at its end; the last one is read to its end.
 
-def zstd_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    A line break in a frame begins a line. So the bytes before the first one belong to the frame
+    before, and what follows the last one is completed from the frames after.
+    """
+    for batch in frames:
+        for path, number, offset, size in zip(*[batch[c].to_pylist() for c in ("path", "number", "offset", "size")]):
+            with _open(path, seek=True) as raw:
+                carried, begun = b"", number == 0
+                for data in _unpacked(raw, offset, size):
+                    *whole, carried = (carried + data).split(b"\n")
+                    if whole and not begun:
+                        whole, begun = whole[1:], True
+                    elif not begun:
+                        carried = b""
+                    yield pa.record_batch({"value": pa.array(whole, pa.binary())})
+                if not begun:
+                    continue
+                rest = [carried]
+                for data in _unpacked(raw, offset + size, None):
+                    head, found, _ = data.partition(b"\n")
+                    rest.append(head)
+                    if found:
+                        break
+                line = b"".join(rest)
+                yield pa.record_batch({"value": pa.array([line] if line else [], pa.binary())})
+
+
+def zstd_lines(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*") -> DataFrame:
     """Lines of zstd files with windows of any size, as column ``value``; broken bytes are replaced.
 
-    Spark's own codec reads windows of up to 128 MiB. Only files whose header asks for more go
-    through Python: a task per file, which streams. A zstd file cannot be split.
+    An index of the files' frames is made first, by a task per file that reads headers only. The
+    frames are then dealt out, so a file of many frames is read by many tasks; a file of one
+    frame by one, which streams.
     """
-    files = spark.read.format("binaryFile").load(paths).select("path")
-    told = files.mapInArrow(_windows, "path string, wide boolean").collect()  # names, no contents
-    usual, wide = ([r["path"] for r in told if r["wide"] == w] for w in (False, True))
-    parts = []
-    if usual:
-        parts.append(spark.read.text(usual).select(F.make_valid_utf8("value").alias("value")))
-    if wide:
-        lines = spark.read.format("binaryFile").load(wide).select("path").mapInArrow(
-            _wide_lines, "value binary")
-        parts.append(lines.select(F.make_valid_utf8(F.col("value").cast("string")).alias("value")))
-    return reduce(DataFrame.union, parts, spark.createDataFrame([], "value string"))
+    index = stored(_listed(spark, paths, pattern).select("path").mapInArrow(
+        _frames, "path string, number bigint, offset bigint, size bigint"), "frames")
+    count = index.count()
+    tasks = max(1, min(count, _FRAME_TASKS * spark.sparkContext.defaultParallelism))
+    lines = index.repartition(tasks, "path", "number").mapInArrow(_frame_lines, "value binary")
+    return lines.select(F.make_valid_utf8(F.col("value").cast("string")).alias("value"))
 
 
 def _records(lines: DataFrame, schema: StructType, strict: bool) -> DataFrame:
@@ -104,23 +162,27 @@ def _records(lines: DataFrame, schema: StructType, strict: bool) -> DataFrame:
     return filled.select(record.alias("_record")).select("_record.*")
 
 
+def _named(reader, pattern: str):
+    return reader.option("pathGlobFilter", pattern)
+
+
 def read_json_lines(
     spark: SparkSession, paths: str | Sequence[str], schema: StructType = DUMP,
-    strict: bool = False,
+    strict: bool = False, pattern: str = "*",
 ) -> DataFrame:
     """JSON lines (plain or in a codec Spark reads); blank lines are skipped.
 
     Lines that are no JSON object are skipped too, or fail the job if ``strict``.
     """
-    return _records(spark.read.text(paths), schema, strict)
+    return _records(_named(spark.read, pattern).text(paths), schema, strict)
 
 
 def read_zstd(
     spark: SparkSession, paths: str | Sequence[str], schema: StructType = DUMP,
-    strict: bool = False, spread_to: int | None = None,
+    strict: bool = False, spread_to: int | None = None, pattern: str = "*",
 ) -> DataFrame:
     """JSON lines in zstd files; ``spread_to`` shares the lines out for the work that follows."""
-    lines = zstd_lines(spark, paths)
+    lines = zstd_lines(spark, paths, pattern)
     return _records(lines.repartition(spread_to) if spread_to else lines, schema, strict)
 
 
@@ -129,34 +191,38 @@ def _first_lines(paths: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         headers = []
         for path in batch["path"]:
             with _open(path) as raw:
-                headers.append(io.TextIOWrapper(raw, encoding="utf-8").readline())
-        yield pd.DataFrame({"path": batch["path"], "header": headers})
+                line = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="").readline()
+                headers.append(next(csv.reader([line.rstrip("\r\n")]), []))
+        yield pd.DataFrame({"file": batch["file"], "header": headers})
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True, pattern: str = "*"
+) -> DataFrame:
     """CSV with a header; values may hold quoted line breaks; all-empty rows are skipped.
 
-    Columns go by name: files are read together per header, since one Spark scan would take
-    the first file's header for all. ``multi_line=False`` lets large files without line
-    breaks in values be split.
+    Columns go by name, and files may order them differently: all files are scanned at once, by
+    place, and a table of every file's header, joined to the scan, tells which place is which
+    column. A row that repeats its file's header is no record. ``multi_line=False`` lets large
+    files without line breaks in values be split.
     """
-    headers = (
-        spark.read.format("binaryFile").load(paths).select("path")
-        .mapInPandas(_first_lines, "path string, header string")
-        .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("header").collect()
-    )
-    parts = [
-        spark.read.options(header=True, multiLine=multi_line, escape='"').csv(row["paths"])
-        for row in headers
-    ]
-    known = [f.name for f in DUMP.fields]
-    shaped = [
-        with_missing(part.where(F.coalesce(*[F.col(f"`{c}`") for c in part.columns]).isNotNull()))
-        .select(*known)
-        for part in parts
-    ]
-    return reduce(DataFrame.unionByName, shaped)
+    headers = stored(_listed(spark, paths, pattern).mapInPandas(
+        _first_lines, "file string, header array<string>"), "headers")
+    width = headers.agg(F.max(F.size("header"))).first()[0] or 0
+    if not width:
+        return spark.createDataFrame([], DUMP)
+    places = [f"place{i}" for i in range(width)]
+    scan = _named(spark.read, pattern).schema(", ".join(f"{p} string" for p in places)).options(
+        header=False, multiLine=multi_line, escape='"', enforceSchema=True).csv(paths)
+    rows = scan.select(F.array(*places).alias("cells"), F.col("_metadata.file_path").alias("file")).join(
+        headers, "file")
+    own = F.slice("cells", F.lit(1), F.size("header"))
+    filled = rows.where(F.exists(own, lambda c: c.isNotNull()) & ~own.eqNullSafe(F.col("header")))
+
+    def cell(name: str) -> Column:
+        return F.try_element_at("cells", F.nullif(F.array_position("header", name), F.lit(0)).cast("int"))
+
+    return filled.select(*[cell(f.name).alias(f.name) for f in DUMP.fields])
 
 
 def read_dump(spark: SparkSession, path: str, spread_to: int | None = None) -> DataFrame:
@@ -176,16 +242,19 @@ def read_dump_folder(
     The folder a record comes from is column ``folder``.
     """
     parts = []
+    lines = [k for k in kinds if k not in ("zst", "csv")]
     for folder in DUMP_FOLDERS:
-        found = {kind: files_below(spark, f"{root}/{folder}", f"*.{kind}") for kind in kinds}
-        if not any(found.values()):
-            raise FileNotFoundError(f"no dump files in {root}/{folder}")
-        packed, tables = found.pop("zst", []), found.pop("csv", [])
-        lines = [name for names in found.values() for name in names]
-        frames = [
-            read_zstd(spark, packed, spread_to=spread_to) if packed else None,
-            read_json_lines(spark, lines) if lines else None,
-            read_csv(spark, tables) if tables else None,
-        ]
-        parts += [f.withColumn("folder", F.lit(folder)) for f in frames if f is not None]
+        path = f"{root}/{folder}"
+        try:
+            missing = _listed(spark, path, "*.{" + ",".join(kinds) + "}").isEmpty()
+        except AnalysisException:
+            missing = True
+        if missing:
+            raise FileNotFoundError(f"no dump files in {path}")
+        frames = [read_json_lines(spark, path, pattern="*.{" + ",".join(lines) + "}")] if lines else []
+        if "zst" in kinds:
+            frames.append(read_zstd(spark, path, spread_to=spread_to, pattern="*.zst"))
+        if "csv" in kinds:
+            frames.append(read_csv(spark, path, pattern="*.csv"))
+        parts += [f.withColumn("folder", F.lit(folder)) for f in frames]
     return reduce(DataFrame.unionByName, parts)
