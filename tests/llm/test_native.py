@@ -303,3 +303,13 @@ def test_other_finds_that_overlap_no_base_find(spark):
     for row in df.select("b", "o", pii._clear(F.col("b"), F.col("o")).alias("c")).collect():
         want = [o for o in row["o"] if not any(b["start"] < o["end"] and o["start"] < b["end"] for b in row["b"])]
         assert sorted(row["c"]) == sorted(want)
+
+
+def test_items_in_scripts_without_spaces(spark, frame):
+    items = {1: "地球から月までの距離は何キロですか", 2: "中国最长的河流是哪一条", 3: "ประเทศไทยมีกี่จังหวัด",
+             4: "What is the 东京 tower height"}
+    docs = [(n, f"前文 text before。{t}？ and after 后文") for n, t in items.items()]
+    docs += [(10, "地球と月は近い"), (11, "中国的河流很多"), (12, "What is the tower"), (13, "東京 only")]
+    wanted = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(frame(docs), wanted).collect()}
+    assert got == {(n, n) for n in items}

@@ -92,8 +92,11 @@ def test_pipeline_matches_the_operators_by_hand(spark):
 
 
 def test_stage_tables_are_removed(spark):
+    other = stage_table(spark.range(5), "test-other")
     table = stage_table(spark.range(3), "test")
+    drop_stage_tables(spark, keep=table)
     assert table.count() == 3
+    assert not os.path.isdir(other._jdf.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:"))
     folder = table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
     assert os.path.isdir(folder)
     drop_stage_tables(spark)

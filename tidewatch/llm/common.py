@@ -33,18 +33,29 @@ def stage_table(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     folder = shared_dir(spark, purpose)
     df.write.parquet(folder)
-    _FOLDERS.append(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    table = spark.read.schema(df.schema).parquet(folder)
+    table.__dict__["stage_folder"] = folder
+    return table
 
 
-_FOLDERS: list[str] = []
+#: Folders written so far, per application.
+_FOLDERS: dict[str, list[str]] = {}
 
 
-def drop_stage_tables(spark: SparkSession) -> None:
-    """Remove the stage tables written so far; results that still read them must be stored before."""
+def drop_stage_tables(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Remove the stage tables that this session has written, but ``keep``, if it is one.
+
+    Results that still read others must be stored before.
+    """
+    held = _FOLDERS.pop(spark.sparkContext.applicationId, [])
+    kept = keep.__dict__.get("stage_folder") if keep is not None else None
     jvm = spark.sparkContext._jvm
-    while _FOLDERS:
-        path = jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+    for folder in held:
+        if folder == kept:
+            _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(folder)
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
