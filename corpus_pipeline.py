@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import decontam, packing, pii, quality, simhash
-from tidewatch.llm.common import read, stage_table
+from tidewatch.llm.common import drop_stage_tables, read, stage_table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; the last one's rows."""
+    """All stages on ``documents``; the last one's rows.
+
+    What a stage has stored on its way is removed once its result is written.
+    """
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_stage_tables(spark, keep=docs)
     return STAGES[-1][1](spark, docs, sf_dir)
