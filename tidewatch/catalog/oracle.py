@@ -199,6 +199,7 @@ def _aggregate(name: str, where: str = "true") -> str:
 
 
 _WINDOWS = (_EVENT_MESSAGES, _SCORED_MESSAGES, _aggregate("windows"))
+_CLEAN_FREE = "SELECT doc_id AS k, coalesce(text, '') AS text FROM documents"
 _CLEAN_DOCUMENTS = f"SELECT * FROM (SELECT doc_id AS k, {_clean('text')} AS text FROM documents) WHERE length(text) >= 5"
 
 
@@ -504,6 +505,22 @@ def oracle_sql() -> dict[str, str]:
                    (SELECT count(*) FROM corpus c WHERE c.split = corpus.split) AS rows,
                    (SELECT count(*) FROM corpus) AS total
             FROM corpus GROUP BY split, label""", *_CORPUS),
+        "written_corpus": _scored(_LONG_TURNS, """
+            SELECT split, label, count(*) AS label_count,
+                   (SELECT count(*) FROM corpus c WHERE c.split = corpus.split) AS rows,
+                   (SELECT count(*) FROM corpus) AS total
+            FROM corpus GROUP BY split, label""", *_CORPUS),
+        "held_out_split": _scored(
+            _LONG_TURNS, "SELECT md5(text) AS text_md5, label, source FROM corpus WHERE split = 'test'", *_CORPUS),
+        "chosen_scorers": _scored(_CLEAN_FREE, """
+            SELECT doc_id, 'rules' AS scorer, CASE WHEN doc_id % 7 = 0 THEN 'neu' ELSE label END AS label
+            FROM documents JOIN verdicts ON k = doc_id
+            UNION ALL SELECT doc_id, 'absent', 'neu' FROM documents"""),
+        "whole_monitor": _over_alerts("""
+            SELECT 'window' AS kind, brand, window_start AS second, volume,
+                   CAST(unique_authors AS VARCHAR) AS more FROM closed
+            UNION ALL SELECT 'alert', brand, triggered_at, volume, severity FROM alerts""",
+            DETECTION, "closed", _CLOSED),
         "public_sample": f"""WITH {_LABELLED}
             SELECT row_id, label FROM labelled ORDER BY md5('42:' || row_id) LIMIT 200""",
         "exact_event_split": """
@@ -524,6 +541,9 @@ def oracle_sql() -> dict[str, str]:
         "quality_metrics": _scored(_LABELLED_TEXTS, f"""
             SELECT {_round('accuracy', 9)} AS accuracy, {_round('f1_macro', 9)} AS f1_macro, n FROM now""",
             _LABELLED, _PREDICTIONS, _metrics("now", "predicted")),
+        "kept_baseline": _scored(_LABELLED_TEXTS, f"""
+            SELECT {_round('accuracy', 9)} AS accuracy, {_round('f1_macro', 9)} AS f1_macro, n FROM now""",
+            _LABELLED, _PREDICTIONS, _metrics("now", "predicted")),
         "quality_gate": _scored(_LABELLED_TEXTS, f"""
             SELECT now.n, {_round('now.f1_macro - before.f1_macro', 9)} AS delta, verdict,
                    verdict = 'improved' AS save, CASE verdict WHEN 'regression' THEN 2 ELSE 0 END AS exit_code

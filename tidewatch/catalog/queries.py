@@ -15,14 +15,15 @@ from tidewatch.config import Brand
 from tidewatch.functions import sentiment, text
 from tidewatch.functions.numbers import epoch_millis, epoch_seconds, round_even
 from tidewatch.operators import brands, contracts, messages, normalise, sampling, spikes, windows
-from tidewatch.operators.scoring import score_messages
+from tidewatch.operators.scoring import make_scorer, score_messages
 from tidewatch.plans import corpus, quality, serving
 from tidewatch.session import shared_dir, spread
 from tidewatch.session import stored as keep
 from tidewatch.sinks import tables as stored
-from tidewatch.sinks import topics
+from tidewatch.sinks import reports, topics
 from tidewatch.sources.dumps import DUMP_KINDS, read_dump_folder, read_zstd
 from tidewatch.sources.tables import public_corpus
+from tidewatch.sources.topics import folder_stream
 from tidewatch.streaming import monitor
 from tidewatch.streaming.detector import detect_spike_stream
 
@@ -600,3 +601,62 @@ def quality_gate(spark, path):
     verdict = quality.gate(quality.metrics(_predictions(spark, path)), quality.metrics(weak))
     return verdict.select(
         "n", round_even("delta", 9).alias("delta"), "verdict", "save", "exit_code")
+
+
+@query
+def written_corpus(spark, path):
+    """The corpus as written: its statistics, read back."""
+    root = shared_dir(spark, "corpus")
+    reports.write_corpus(_corpus(spark, path), root)
+    return spark.read.schema(
+        "split string, label string, label_count bigint, rows bigint, total bigint").json(f"{root}/stats")
+
+
+@query
+def held_out_split(spark, path):
+    root = shared_dir(spark, "corpus")
+    reports.write_corpus(_corpus(spark, path), root)
+    return reports.read_split(spark, root, "test").select(F.md5("text").alias("text_md5"), "label", "source")
+
+
+@query
+def kept_baseline(spark, path):
+    """The baseline is written by the first run, kept by a worse one, and read back."""
+    root = shared_dir(spark, "baseline")
+    first = quality.metrics(_predictions(spark, path))
+    reports.write_baseline(quality.gate(first, None), root)
+    worse = first.withColumns({"accuracy": F.lit(0.0), "f1_macro": F.lit(0.0)})
+    reports.write_baseline(quality.gate(worse, reports.read_baseline(spark, root)), root)
+    return reports.read_baseline(spark, root).select(
+        round_even("accuracy", 9).alias("accuracy"), round_even("f1_macro", 9).alias("f1_macro"), "n")
+
+
+@query
+def chosen_scorers(spark, path):
+    """Scorers by name: the rules, also on null texts, and what stands in for a model that is not there."""
+    texts = inputs.documents(spark, path).select(
+        "doc_id", F.when(F.col("doc_id") % 7 != 0, F.col("text")).alias("text"))
+    rules = make_scorer("vader", lexicon=LEXICON)(spread(texts), "text")
+    absent = make_scorer("onnx", strict=False, model_path="/no/model", tokenizer_path="/no/tokenizer")(texts, "text")
+    return rules.select("doc_id", F.lit("rules").alias("scorer"), "label").unionByName(
+        absent.select("doc_id", F.lit("absent").alias("scorer"), "label"))
+
+
+@query
+def whole_monitor(spark, path):
+    """Raw records of two topics through the monitor to its stored tables, which are read back."""
+    root = shared_dir(spark, "monitor")
+    sent = inputs.message_view(spark, path).select(
+        "id", F.when(F.col("brand").isin("view", "click"), "submission").otherwise("comment").alias("type"),
+        F.lit("all").alias("subreddit"), "author", "brand", F.lit(None).cast("string").alias("title"), "body",
+        "score", epoch_seconds("event_time").alias("created_utc"), F.lit(0.0).alias("ingested_at"))
+    topics.write_routed(topics.routed(sent, "submissions", "comments"), f"{root}/raw")
+    raw = folder_stream(spark, {t: f"{root}/raw/topic={t}" for t in ("submissions", "comments")})
+    monitor.start_monitor(spark, raw, root, DETECTION, SCORER, drain=True)
+    found = _seconds(stored.read_aggregates(spark, f"{root}/aggregates"), "window_start")
+    raised = _seconds(stored.read_alerts(spark, f"{root}/alerts"), "triggered_at")
+    return found.select(
+        F.lit("window").alias("kind"), "brand", F.col("window_start").alias("second"), "volume",
+        F.col("unique_authors").alias("more").cast("string")).unionByName(raised.select(
+            F.lit("alert").alias("kind"), "brand", F.col("triggered_at").alias("second"), "volume",
+            F.col("severity").alias("more")))
