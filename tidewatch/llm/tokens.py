@@ -18,10 +18,10 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 
-CACHED = 1_000_000
+CACHED = 500_000
 JOINED = 256
 #: Bytes of text encoded at once: its words are held as objects meanwhile.
-SLICE = 8 << 20
+SLICE = 2 << 20
 _SPACE = bytes(0x20 if c in (0x09, 0x0A, 0x0D) else c for c in range(256))
 _PLAIN = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in _SPACE)
 _BLANK, _LETTER, _SIGN = 1, 2, 3
