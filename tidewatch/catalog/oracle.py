@@ -349,6 +349,7 @@ _LABELLED_TEXTS = "SELECT doc_id AS k, text FROM documents WHERE doc_id IN (SELE
 
 _TYPED = """typed AS (
       SELECT CAST(event_id AS VARCHAR) AS id, event_type AS brand,
+             CAST(trunc(value) AS INTEGER) AS score,
              CASE WHEN CAST(trunc(value) AS INTEGER) > 20 THEN 'submission' ELSE 'comment' END AS type
       FROM events JOIN documents ON doc_id = event_id % (SELECT count(*) FROM documents))"""
 
@@ -455,7 +456,9 @@ def oracle_sql() -> dict[str, str]:
               FROM fed JOIN files USING (file), range({_DAY // _SLIDE}) steps(i))
             SELECT brand, id, ms AS at, window_start FROM starts WHERE (window_start + {_DAY}) * 1000 <= watermark""",
         "route_by_type": f"""WITH {_TYPED}
-            SELECT type || 's' AS topic, brand AS key, count(*) AS messages FROM typed GROUP BY ALL""",
+            SELECT type || 's' AS topic, brand AS key, count(*) AS messages, max(id) AS last_id,
+                   CAST(sum(score) AS BIGINT) AS scores
+            FROM typed GROUP BY ALL""",
         "contract_rejects": f"""WITH {_TYPED}
             SELECT CASE brand WHEN 'error' THEN 'type is one of submission, comment'
                               WHEN 'view' THEN 'id is required; created_utc is after the epoch'

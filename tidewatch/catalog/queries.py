@@ -370,7 +370,9 @@ def _typed_messages(spark, path) -> DataFrame:
 @query
 def route_by_type(spark, path):
     sent = topics.routed(_typed_messages(spark, path), "submissions", "comments")
-    return sent.groupBy("topic", "key").agg(F.count("*").alias("messages"))
+    return sent.groupBy("topic", "key").agg(
+        F.count("*").alias("messages"), F.max(F.get_json_object("value", "$.id")).alias("last_id"),
+        F.sum(F.get_json_object("value", "$.score").cast("bigint")).alias("scores"))
 
 
 @query
