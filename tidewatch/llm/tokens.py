@@ -19,9 +19,10 @@ import numpy as np
 import pyarrow as pa
 
 CACHED = 500_000
-JOINED = 256
+#: Words encoded as one text, and texts handed over at once: each token is an object meanwhile.
+JOINED, HANDED = 256, 16
 #: Bytes of text encoded at once: its words are held as objects meanwhile.
-SLICE = 2 << 20
+SLICE = 1 << 20
 _SPACE = bytes(0x20 if c in (0x09, 0x0A, 0x0D) else c for c in range(256))
 _PLAIN = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in _SPACE)
 _BLANK, _LETTER, _SIGN = 1, 2, 3
@@ -71,16 +72,19 @@ class Encoder:
         """Words of letters only: encoded many at a time, told apart by the word numbers."""
         out: list[bytes] = []
         parts = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
-        texts = [b" ".join(p).decode() for p in parts]
-        for part, found in zip(
-                parts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            number = found.word_ids
-            if number and None not in number and number[-1] == len(part) - 1:
-                ids = np.array(found.ids, "<u2").tobytes()
-                ends = (2 * np.searchsorted(np.array(number), np.arange(len(part)), side="right")).tolist()
-                out += [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-            else:
-                out += self._plain([w.decode() for w in part])
+        for at in range(0, len(parts), HANDED):
+            some = parts[at:at + HANDED]
+            texts = [b" ".join(p).decode() for p in some]
+            for part, found in zip(
+                    some, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+                number = found.word_ids
+                if number and None not in number and number[-1] == len(part) - 1:
+                    ids = np.array(found.ids, "<u2").tobytes()
+                    ends = (2 * np.searchsorted(
+                        np.array(number), np.arange(len(part)), side="right")).tolist()
+                    out += [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+                else:
+                    out += self._plain([w.decode() for w in part])
         return out
 
     def _learn(self, chunks: Iterable[bytes]) -> dict[bytes, bytes]:
@@ -114,6 +118,9 @@ class Encoder:
         finally:
             if collects:
                 gc.enable()
+            # Both allocators keep what a slice took for a while; it is more than the cache takes.
+            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+                pool.release_unused()
 
     def _known(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of chunks, from the cache or learnt."""
