@@ -422,8 +422,10 @@ def upsert_revisions(spark, path):
 def persisted_records(spark, path):
     """Records of both result topics, some unreadable, some breaking their contract: where each ends."""
     root = shared_dir(spark, "persister")
-    aggregates = keep(windows.as_stream_record(inputs.aggregates(spark, path)), "windows")
-    found = _seconds(_alerts(spark, path), "triggered_at", "window_start", "window_end")
+    now = keep(inputs.aggregates(spark, path), "windows")
+    aggregates = windows.as_stream_record(now)
+    found = keep(_seconds(
+        spikes.detect_spikes(now, DETECTION), "triggered_at", "window_start", "window_end"), "alerts")
 
     def sent(df: DataFrame, topic: str, value: Column) -> DataFrame:
         return df.select(F.lit(topic).alias("topic"), value.alias("value"), F.lit(1).alias("version"))
