@@ -393,11 +393,12 @@ def contract_rejects(spark, path):
 @query
 def upsert_aggregates(spark, path):
     root = shared_dir(spark, "upsert")
-    scored = inputs.scored_messages(spark, path)
+    scored = keep(inputs.scored_messages(spark, path), "scored")
     halves = scored.where(f"event_time < timestamp'{AS_OF}'"), scored.where(
         f"event_time >= timestamp'{AS_OF}'")
     for batch, half in enumerate(halves):
-        rows = windows.window_aggregates(half, DETECTION.window_seconds, DETECTION.slide_seconds)
+        rows = windows.window_aggregates(
+            half, DETECTION.window_seconds, DETECTION.slide_seconds, stored=True)
         stored.write_aggregates(windows.as_stream_record(rows), root, batch)
     table_now = stored.read_aggregates(spark, root).drop("window_date")
     ratios = ("neg_ratio", "avg_neg_prob", "influencer_neg")
