@@ -4,10 +4,14 @@ import datetime
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.catalog import inputs, queries
-from tidewatch.streaming import windows
+from tidewatch.functions import sentiment, text, words
+from tidewatch.sources import topics
+from tidewatch.streaming import monitor, windows
 
 HOUR = 3_600_000
 
@@ -179,3 +183,75 @@ def test_a_part_of_a_feed_is_read_without_the_others(spark, tables, tmp_path):
     assert parts == 4 and fed.count() == 287 and fed.schema == inputs.table(spark, tables, "events").schema
     plan = stored.where("part = 2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def raw_records(spark):
+    return spark.createDataFrame([("t", "{}", 1)], "topic string, value string, version long").withColumn(
+        "timestamp", F.lit("2024-01-01").cast("timestamp"))
+
+
+@pytest.mark.parametrize("read", [lambda raw: topics.message_stream(raw, inputs.DETECTION), topics.rejected_messages])
+def test_a_record_is_parsed_once(spark, read):
+    plan = read(raw_records(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_the_monitor_aggregates_windows_once(spark, tmp_path, monkeypatch):
+    plain, made, started = monitor.aggregate_stream, [], []
+    monkeypatch.setattr(monitor, "aggregate_stream", lambda *a: made.append(1) or plain(*a))
+    monkeypatch.setattr(monitor, "run", lambda stream, checkpoint, **_: started.append(checkpoint.rsplit("/")[-1]))
+    for folder in ("raw", "out/scored", "out/windows"):
+        (tmp_path / folder).mkdir(parents=True)
+    raw = topics.folder_stream(spark, {"raw": str(tmp_path / "raw")})
+    monitor.start_monitor(spark, raw, str(tmp_path / "out"), inputs.DETECTION, inputs.SCORER)
+    assert len(made) == 1 and started == ["scored", "rejected", "windows", "aggregates", "alerts"]
+
+
+def test_words_are_split_and_looked_up_in_arrow(spark):
+    df = sentiment.with_polarity(spark.createDataFrame([("fine",)], "text string"), "text", inputs.LEXICON)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "split(" not in plan
+
+
+def plainly(texts, scored, whole, turns, marks):
+    """What ``look_at`` gives, word by word."""
+    out = []
+    for value in texts:
+        own = [w for w in value.split() if len(w) > 1]
+        low = [w.lower() for w in own]
+        hits = [{"at": i, "word": own[i]} | {n: own[i + d] if 0 <= i + d < len(own) else None
+                                            for n, d in words.AROUND.items()}
+                for i, w in enumerate(low) if w.strip(marks) in scored or w in whole]
+        out.append({"words": len(own), "loud": sum(w == w.upper() and w != w.lower() for w in own),
+                    "turn": next((i + 1 for i, w in enumerate(low) if w in turns), 0), "found": hits})
+    return out
+
+
+ODD = [
+    "", " ", "x", "BAD", "so BAD!! but 'bad' x ok But!! \u3000bad\xa0:-( the end.", "\u0130YI \u039b\u039f\u0393\u039f\u03a3 \u03bb\u03cc\u03b3\u03bf\u03c2", "STRASSE O\ufb01CE A\xdf STRA\xdfE \u0149A \U0001f600 12 A1",
+    "bad\x1cbad\x85bad\u2028bad " * 5, "but bad", "worse bad"]
+
+
+@pytest.mark.parametrize("size", [1, 40, 4 << 20])
+def test_words_found_in_slices_are_those_found_one_by_one(monkeypatch, size):
+    monkeypatch.setattr(words, "SLICE_BYTES", size)
+    looked = {"bad", "i\u0307yi", "\u03bb\u03bf\u03b3\u03bf\u03c2"}, {":-("}, {"but", "but!!"}, "!':-(."
+    parts = list(words._slices(pa.array(ODD)))
+    got = [row for part in parts for row in words.look_at(part, *looked).to_pylist()]
+    assert got == plainly(ODD, *looked) and (len(parts) > 3) == (size < 100)
+    assert words.look_at(pa.array([], pa.string()), *looked).to_pylist() == []
+
+
+def test_scores_of_odd_texts(spark):
+    """Nulls, invalid UTF-8 and texts without words are scored too."""
+    rows = spark.createDataFrame([(None,), ("",), ("a b",), ("idiot",)], "text string").unionByName(
+        spark.sql("SELECT CAST(X'69646F7420FF2069646F74' AS STRING) AS text"))
+    got = [r[0] for r in sentiment.with_polarity(rows, "text", inputs.LEXICON).select("polarity.compound").collect()]
+    assert got[:3] == [0.0, 0.0, 0.0] and got[3] < 0 and len(got) == 5
+
+
+def test_cleaning_in_one_pass_gives_what_its_steps_give(one):
+    odd = [" **  _ a\u3000b http://x_y*z **http://q  > ~` \tx   _ * ", "a b", "a  b", "*", " ", "", None, "a*b_c", "a\x85 b",
+           "https:// x", "ahttp://b c", "http*://x", "end ", "\n", "~a~", "x\xa0y", "a \u2003 b*"]
+    steps = one(lambda c: text.collapse_space(text.drop_markdown(F.regexp_replace(c, text.LINK, " "))), odd)
+    assert one(text.clean, odd) == steps
