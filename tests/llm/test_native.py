@@ -313,3 +313,31 @@ def test_items_in_scripts_without_spaces(spark, frame):
     wanted = spark.createDataFrame(list(items.items()), "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(frame(docs), wanted).collect()}
     assert got == {(n, n) for n in items}
+
+
+def test_more_items_than_can_be_broadcast(spark, frame, monkeypatch):
+    """The same pairs, and no shuffle moves all words of a text beside each of its windows."""
+    known = [ITEM, "plain words of another item that is much like the first one here", "Add 12, 7, 3, 5 and 2", None]
+    texts = [f"Before. {ITEM.replace('5', '8')} Behind {known[1].upper()}", f"so {known[2]} then {known[2]} and on",
+             ITEM, "nothing of them " * 40, None, "Add 12, 7, 3, 5 and 3"]
+    want = held(decontam.contaminated(frame(texts), items(spark, *known)))
+    assert set(want) == {(0, 0), (0, 1), (1, 2), (2, 0)}
+    monkeypatch.setattr(decontam, "fits", lambda df: False, raising=False)
+    monkeypatch.setattr(decontam, "small", lambda df: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontam.contaminated(frame(texts), items(spark, *known))
+        assert held(found) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    shuffled = re.findall(r"\) Exchange *\nInput \[\d+\]: (\[.*\])", plan)
+    assert any("slots#" in columns for columns in shuffled) and not any("words#" in c for c in shuffled)
+
+
+def test_filter_of_hashes_keeps_all_of_them(spark):
+    for count in (0, 1, 200_000):
+        hashes = spark.range(count).select(F.xxhash64("id").alias("hash"))
+        passed = spark.range(2 * 200_000).select("id", F.xxhash64("id").alias("hash")).where(decontam._known(hashes))
+        kept, others = passed.where(F.col("id") < count).count(), passed.where(F.col("id") >= count).count()
+        assert kept == count and others < 6_000
