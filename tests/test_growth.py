@@ -255,3 +255,24 @@ def test_cleaning_in_one_pass_gives_what_its_steps_give(one):
            "https:// x", "ahttp://b c", "http*://x", "end ", "\n", "~a~", "x\xa0y", "a \u2003 b*"]
     steps = one(lambda c: text.collapse_space(text.drop_markdown(F.regexp_replace(c, text.LINK, " "))), odd)
     assert one(text.clean, odd) == steps
+
+
+def test_records_are_kept_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    """Whole texts go to disk twice, as raw and as scored records."""
+    import pyarrow.parquet as pq
+
+    from tidewatch.sinks import topics
+    from tidewatch.sources.topics import folder_stream
+
+    monkeypatch.setattr(topics, "FILE_RECORDS", 40, raising=False)
+    sent = spark.range(100).selectExpr(
+        "CASE id % 2 WHEN 0 THEN 'a' ELSE 'b' END AS topic", "concat(id, repeat(' some words', 200)) AS value")
+    topics.write_routed(sent.coalesce(1), str(tmp_path / "raw"))
+    files = list(tmp_path.glob("raw/topic=*/part-*"))
+    assert len(files) == 4 and sum(f.stat().st_size for f in files) < 100 * 2200 / 5
+    read = folder_stream(spark, {t: str(tmp_path / f"raw/topic={t}") for t in "ab"}).select("topic", "value")
+    monitor.run(read, str(tmp_path / "checkpoint"), path=str(tmp_path / "rows"), drain=True).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "rows")).exceptAll(sent).count() == 0
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 100
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in tmp_path.glob("rows/*.parquet")}
+    assert codecs == {"ZSTD"}
