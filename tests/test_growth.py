@@ -276,3 +276,24 @@ def test_records_are_kept_compressed_in_bounded_files(spark, tmp_path, monkeypat
     assert spark.read.parquet(str(tmp_path / "rows")).count() == 100
     codecs = {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in tmp_path.glob("rows/*.parquet")}
     assert codecs == {"ZSTD"}
+
+
+def test_states_have_one_partition_per_core_at_most(spark, tmp_path):
+    """Every partition of a state is loaded and committed in each micro-batch, however few keys there are."""
+    wanted = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    try:
+        rows = spark.range(20).selectExpr(
+            "'b' AS brand", "CAST(id AS STRING) AS id", "concat('u', id) AS author", "1L AS score", "'neg' AS label",
+            "0.9D AS neg_prob", "'some text' AS text", "timestamp_seconds(id * 60) AS event_time")
+        rows.write.parquet(str(tmp_path / "in"))
+        scored = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")).withWatermark("event_time", "1 second")
+        stream = windows.aggregate_stream(scored, 120, 60)
+        query = monitor.run(stream, str(tmp_path / "checkpoint"), path=str(tmp_path / "rows"), drain=True)
+        query.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "30"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    made = {o["numShufflePartitions"] for p in query.recentProgress for o in p["stateOperators"]}
+    assert made and max(made) <= max(spark.sparkContext.defaultParallelism, 8)
+    assert spark.read.parquet(str(tmp_path / "rows")).count() > 15
